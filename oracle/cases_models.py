@@ -20,6 +20,7 @@ from hailgrid.operators import profiles as p
 from hailgrid.operators.demand import complete_grid
 from hailgrid.operators.history import demand_features
 from hailgrid.plans import forecast_queries as f
+from hailgrid.sinks.writers import sink_months
 from oracle.cases_demand import rounded
 from oracle.registry import check
 
@@ -184,8 +185,8 @@ def _(t):
 
 # Two models per month: the profile baseline and the mean of the zone and hour.
 BOTH = """SELECT 'zone_dow_hour_mean' AS model, calendar_month, demand,
-      greatest(zone_dow_hour_mean, 0) AS prediction FROM known_history
-    UNION ALL SELECT 'zone_hour_mean', calendar_month, demand, zone_hour_mean FROM known_history"""
+      greatest(zone_dow_hour_mean, 0) AS prediction FROM known_exact
+    UNION ALL SELECT 'zone_hour_mean', calendar_month, demand, zone_hour_mean FROM known_exact"""
 MAE, RMSE = "AVG(abs(demand - prediction))", "sqrt(AVG((demand - prediction) * (demand - prediction)))"
 
 
@@ -240,12 +241,15 @@ def small_run(t):
 
 
 def demand_grid_features(t):
-    """Features of all stored months on the complete grid of the observed zones."""
+    """Stored features of all months on the complete grid of the observed zones."""
     span = t.monthly_demand.agg(
         F.min("pickup_hour").alias("first"), F.max("pickup_hour").alias("last")
     ).first()
     zones = t.monthly_demand.select("LocationID").distinct()
-    return demand_features(complete_grid(t.monthly_demand, zones, str(span["first"]), str(span["last"])))
+    grid = complete_grid(t.monthly_demand, zones, str(span["first"]), str(span["last"]))
+    root = t.folder("features")
+    sink_months(demand_features(grid), root, "pickup_hour")
+    return t.spark.read.parquet(root)
 
 
 @check(

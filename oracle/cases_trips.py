@@ -70,7 +70,7 @@ def _(t):
 @check("scan_trips_month_predicate", TRIP_SUMMARY.format("in_window"))
 def _(t):
     folder = store_trips(t, "all")
-    return trip_summary(scan_trips(t.spark, folder, year=2024, month=1))
+    return trip_summary(scan_trips(t.spark, f"{folder}/all", year=2024, month=1))
 
 
 @check("scan_zone_lookup", "SELECT * FROM zones")
@@ -82,7 +82,7 @@ def _(t):
 
 @check("scan_parquet", TRIP_SUMMARY.format("trips"))
 def _(t):
-    return trip_summary(scan_parquet(t.spark, store_trips(t, "all")))
+    return trip_summary(scan_parquet(t.spark, f"{store_trips(t, 'all')}/all"))
 
 
 @check(

@@ -161,11 +161,16 @@ CTES = {
         FROM profiled GROUP BY calendar_month, "LocationID", day_of_week, hour
         WINDOW w AS (PARTITION BY "LocationID", day_of_week, hour ORDER BY calendar_month
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
-    "expanding": """SELECT calendar_month, "LocationID", day_of_week, hour,
-        ROUND(zone_mean_demand, 6) AS zone_mean_demand, ROUND(zone_hour_mean, 6) AS zone_hour_mean,
-        ROUND(zone_dow_hour_mean, 6) AS zone_dow_hour_mean
+    "expanding_exact": """SELECT calendar_month, "LocationID", day_of_week, hour,
+        zone_mean_demand, zone_hour_mean, zone_dow_hour_mean
         FROM dow_hour_months JOIN zone_months USING (calendar_month, "LocationID")
         JOIN hour_months USING (calendar_month, "LocationID", hour)""",
+    "expanding": """SELECT calendar_month, "LocationID", day_of_week, hour,
+        ROUND(zone_mean_demand, 6) AS zone_mean_demand, ROUND(zone_hour_mean, 6) AS zone_hour_mean,
+        ROUND(zone_dow_hour_mean, 6) AS zone_dow_hour_mean FROM expanding_exact""",
+    "known_exact": """SELECT calendar_month, demand, zone_hour_mean, zone_dow_hour_mean
+        FROM profiled JOIN expanding_exact USING (calendar_month, "LocationID", day_of_week, hour)
+        WHERE zone_dow_hour_mean IS NOT NULL""",
     "history": f"""SELECT *, CASE WHEN day_of_week IN (1, 7) THEN 1 ELSE 0 END AS is_weekend,
         {cycles(("hour", "hour", 24), ("dow", "day_of_week", 7), ("month", "month", 12))}
         FROM profiled LEFT JOIN expanding USING (calendar_month, "LocationID", day_of_week, hour)""",
