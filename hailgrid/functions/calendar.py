@@ -70,9 +70,17 @@ def weekend_flag(day_of_week: str = "day_of_week") -> Column:
 
 
 def cycle(prefix: str, column: str, period: int) -> dict[str, Column]:
-    """Sine and cosine position of a calendar value on its circle."""
-    angle = 2 * math.pi * F.col(column) / period
-    return {f"{prefix}_sin": F.sin(angle), f"{prefix}_cos": F.cos(angle)}
+    """Sine and cosine position of a calendar value on its circle.
+
+    A calendar value has only ``period`` positions, so they are looked up in a constant array;
+    Spark's own sin and cos would be the most expensive part of a feature row.
+    """
+    angles = [2 * math.pi * step / period for step in range(period)]
+    step = F.col(column) % period
+    return {
+        f"{prefix}_{name}": F.get(F.array(*[F.lit(curve(angle)) for angle in angles]), step)
+        for name, curve in (("sin", math.sin), ("cos", math.cos))
+    }
 
 
 def with_time_features(demand: DataFrame) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key row is well under 100 bytes, so a broadcast stays under about 50 MB.
-BROADCAST_ROWS = 500_000
+# The rows that are broadcast hold a few numbers, so a broadcast stays under about 100 MB.
+BROADCAST_ROWS = 1_000_000
 
 
 def within(bound: DataFrame, max_rows: int) -> bool:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hailgrid.fixed import DEMAND_COLUMNS, DROPOFF, PICKUP, TRIP_KEY
@@ -13,6 +13,7 @@ from hailgrid.functions.sizing import BROADCAST_ROWS, hinted, within
 
 CHARGED_BACK = "fare_amount < 0"
 CHARGED = "fare_amount >= 0"
+SALTS = 32
 
 
 def filter_time_window(trips: DataFrame, start, end) -> DataFrame:
@@ -30,22 +31,21 @@ def demand_fields(trips: DataFrame) -> DataFrame:
     return trips.select(*DEMAND_COLUMNS)
 
 
-def correction_groups(trips: DataFrame) -> DataFrame:
+def correction_groups(trips: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Trip keys charged and charged back, with record count and fare range.
 
-    Empty key fields compare as equal here. Only keys with a negative fare can qualify, so the
-    full trip table is first reduced to those keys; repeated copies of one key are combined
-    before the shuffle by the partial aggregate, so no key can overload a task.
+    Empty key fields compare as equal here. Only keys with a negative fare can qualify; while
+    these are few enough to broadcast, the trips are reduced to them before the shuffle. Copies
+    of one key are combined by the partial aggregate, so no key can overload a task.
     """
-    suspects = trips.where(CHARGED_BACK).select(
-        *[F.col(name).alias(f"suspect_{name}") for name in TRIP_KEY]
-    ).distinct()
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"suspect_{name}")) for name in TRIP_KEY]
-    )
+    if within(trips.where(CHARGED_BACK), broadcast_rows):
+        suspects = trips.where(CHARGED_BACK).select(
+            *[F.col(name).alias(f"suspect_{name}") for name in TRIP_KEY]
+        )
+        same = [F.col(name).eqNullSafe(F.col(f"suspect_{name}")) for name in TRIP_KEY]
+        trips = trips.join(F.broadcast(suspects.distinct()), reduce(Column.__and__, same), "left_semi")
     return (
-        trips.join(suspects, same_key, "left_semi")
-        .groupBy(*TRIP_KEY)
+        trips.groupBy(*TRIP_KEY)
         .agg(
             F.count(F.lit(1)).alias("records"),
             F.min("fare_amount").alias("min_fare"),
@@ -69,9 +69,10 @@ def drop_reversals(trips: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> Da
     A key with an empty field never matches, so such records stay. A key qualifies when it has
     both a negative and a non-negative fare. The number of negative fares bounds how many keys
     can qualify: up to ``broadcast_rows`` the keys are broadcast and no trip is shuffled.
-    Beyond that the joins shuffle. Copies of a hot key are combined before the first join, and
-    the second has unique keys on one side, so adaptive execution can split the hot key on the
-    other. ``broadcast_rows=0`` skips the count and always shuffles.
+    Beyond that both joins shuffle. Before the first, copies of a key are combined. For the
+    second, trips carry a salt and the few reversed keys are repeated once per salt, so a key
+    that holds a large part of all trips is spread over many tasks. ``broadcast_rows=0`` skips
+    the count and always shuffles.
     """
     charged_back = trips.where(CHARGED_BACK)
     small = within(charged_back, broadcast_rows)
@@ -82,7 +83,13 @@ def drop_reversals(trips: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> Da
         .distinct()
         .join(hinted(suspects, small), TRIP_KEY, "left_semi")
     )
-    return trips.join(hinted(reversed_keys, small), TRIP_KEY, "left_anti")
+    if small:
+        return trips.join(F.broadcast(reversed_keys), TRIP_KEY, "left_anti")
+    # The salt is the input partition's number: a retried task salts its rows the same way.
+    salted = trips.withColumn("salt", F.spark_partition_id() % SALTS)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    repeated = reversed_keys.withColumn("salt", salts)
+    return salted.join(repeated, [*TRIP_KEY, "salt"], "left_anti").drop("salt")
 
 
 def clean_trips(trips: DataFrame, start, end, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:

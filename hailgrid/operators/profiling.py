@@ -27,8 +27,9 @@ from hailgrid.fixed import (
 from hailgrid.functions.calendar import moment
 from hailgrid.functions.money import EXACT, exact_mean, exact_sum
 
-# Accuracy of quantile sketches: the rank error is 1 / ACCURACY of the rows.
-ACCURACY = 100_000
+# Accuracy of the quantile sketches: the rank error is at most rows / accuracy. Extreme tails
+# need the finest one. A sketch holds some accuracy values per input partition and column.
+COARSE, MEDIUM, FINE = 1_000, 10_000, 100_000
 
 
 def _rows() -> Column:
@@ -151,7 +152,7 @@ def extreme_records(rows: DataFrame, column: str, threshold: float) -> DataFrame
 
 
 def quantile_table(
-    rows: DataFrame, columns: dict[str, Column], probabilities: list[float], accuracy: int = ACCURACY
+    rows: DataFrame, columns: dict[str, Column], probabilities: list[float], accuracy: int
 ) -> DataFrame:
     """Approximate quantiles of several columns, one row per column and probability.
 
@@ -174,23 +175,23 @@ def quantile_table(
     )
 
 
-def duration_quantiles(trips: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+def duration_quantiles(trips: DataFrame, accuracy: int = COARSE) -> DataFrame:
     minutes = {"trip_duration_minutes": F.col("trip_duration_minutes")}
     return quantile_table(with_whole_minutes(trips), minutes, DURATION_QUANTILES, accuracy)
 
 
-def distance_quantiles(trips: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+def distance_quantiles(trips: DataFrame, accuracy: int = COARSE) -> DataFrame:
     miles = {"trip_distance": F.col("trip_distance")}
     return quantile_table(trips, miles, DISTANCE_QUANTILES, accuracy)
 
 
 def amount_quantiles(
-    trips: DataFrame, probabilities: list[float] = AMOUNT_QUANTILES, accuracy: int = ACCURACY
+    trips: DataFrame, probabilities: list[float] = AMOUNT_QUANTILES, accuracy: int = MEDIUM
 ) -> DataFrame:
     return quantile_table(trips, {c: F.col(c) for c in MONEY_COLUMNS}, probabilities, accuracy)
 
 
-def ratio_quantiles(rows: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+def ratio_quantiles(rows: DataFrame, accuracy: int = FINE) -> DataFrame:
     """Quantiles of duration, speed and fare per mile over known, non-negative values."""
     names = ["duration_minutes", "speed_mph", "fare_per_mile"]
     known = {name: F.when(F.col(name) >= 0, F.col(name)) for name in names}

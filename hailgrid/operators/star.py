@@ -61,7 +61,8 @@ def dim_hour(spark: SparkSession) -> DataFrame:
 
 
 def dim_payment(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAYMENT_METHODS, "payment_type SMALLINT, payment_method STRING")
+    methods = ", ".join(f"({code}S, '{name}')" for code, name in PAYMENT_METHODS)
+    return spark.sql(f"SELECT * FROM VALUES {methods} AS t(payment_type, payment_method)")
 
 
 def fact_demand(daily: DataFrame) -> DataFrame:

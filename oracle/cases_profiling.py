@@ -125,7 +125,7 @@ def quantile_sql(source: str, columns: dict[str, str], levels: list[float]) -> s
     quantile_sql(MINUTES, {"trip_duration_minutes": "m"}, DURATION_QUANTILES),
 )
 def _(t):
-    return p.duration_quantiles(t.trips)
+    return p.duration_quantiles(t.trips, p.FINE)
 
 
 @check(
@@ -133,7 +133,7 @@ def _(t):
     quantile_sql("trips", {"trip_distance": "trip_distance"}, DISTANCE_QUANTILES),
 )
 def _(t):
-    return p.distance_quantiles(t.trips)
+    return p.distance_quantiles(t.trips, p.FINE)
 
 
 AMOUNTS = {c: c for c in MONEY_COLUMNS}
@@ -141,12 +141,12 @@ AMOUNTS = {c: c for c in MONEY_COLUMNS}
 
 @check("amount_quantiles", quantile_sql("clean", AMOUNTS, AMOUNT_QUANTILES))
 def _(t):
-    return p.amount_quantiles(t.clean)
+    return p.amount_quantiles(t.clean, accuracy=p.FINE)
 
 
 @check("amount_quantiles_business", quantile_sql("standard", AMOUNTS, UPPER_TAIL_QUANTILES))
 def _(t):
-    return p.amount_quantiles(t.standard, UPPER_TAIL_QUANTILES)
+    return p.amount_quantiles(t.standard, UPPER_TAIL_QUANTILES, p.FINE)
 
 
 RATIOS = {

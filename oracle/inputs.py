@@ -6,7 +6,7 @@ in how a number of minutes or hours is added to a timestamp, and in how an array
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -122,6 +122,12 @@ def duckdb_sql(text: str) -> str:
     return text.format(**DUCKDB_WORDS, **{t: t for t in SOURCE_TABLES})
 
 
+@lru_cache(maxsize=4)
+def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """One set of frames per session and directory, so that files are listed once."""
+    return Inputs(spark, sf_dir)
+
+
 class Inputs:
     """Lazily built frames over one data directory, shared by the checks."""
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oracle.inputs import Inputs
+from oracle.inputs import Inputs, inputs
 from oracle.plain import DOUBLES, LISTS, TEXTS
 from oracle.sql import with_ctes
 
@@ -19,7 +19,7 @@ def check(name: str, sql: str | None = None):
     """Register a function from ``Inputs`` to a DataFrame, with the final SELECT of its SQL."""
 
     def register(build: Callable[[Inputs], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: plain(name, build(Inputs(spark, sf_dir)))
+        QUERIES[name] = lambda spark, sf_dir: plain(name, build(inputs(spark, sf_dir)))
         if sql is not None:
             ORACLES[name] = with_ctes(plain_sql(name, sql))
         return build

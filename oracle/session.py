@@ -14,6 +14,8 @@ COMMON = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Small local data would otherwise be gathered in one or two tasks.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
 }
 
 

@@ -54,7 +54,7 @@ REVERSALS = [
 ]
 
 
-@pytest.mark.parametrize("limit", [0, 500_000])
+@pytest.mark.parametrize("limit", [0, 1_000_000])
 def test_reversals(spark, limit):
     kept = drop_reversals(frame(spark, *REVERSALS), limit)
     left = sorted((r["PULocationID"], r["fare_amount"]) for r in kept.fillna(99.0, ["fare_amount"]).collect())
@@ -70,7 +70,7 @@ def test_correction_groups_treat_empty_fields_as_equal(spark):
 def test_demand_by_key_equals_counting_clean_trips(spark):
     trips = frame(spark, *REVERSALS)
     expected = sorted(map(tuple, hourly_demand(clean_trips(trips, *JANUARY)).collect()))
-    for limit in (0, 500_000):
+    for limit in (0, 1_000_000):
         assert sorted(map(tuple, clean_hourly_demand(trips, *JANUARY, limit).collect())) == expected
 
 
