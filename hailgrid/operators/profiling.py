@@ -6,6 +6,8 @@ single key's rows are gathered in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ from hailgrid.fixed import (
     TRIP_KEY,
 )
 from hailgrid.functions.calendar import moment
-from hailgrid.functions.money import EXACT, exact_mean, exact_sum
+from hailgrid.functions.money import UNITS, exact_mean, exact_sum, units
 
 # Accuracy of the quantile sketches: the rank error is at most rows / accuracy. Extreme tails
 # need the finest one. A sketch holds some accuracy values per input partition and column.
@@ -376,14 +378,15 @@ def negative_fares_by_month(trips: DataFrame) -> DataFrame:
 def with_total_difference(trips: DataFrame) -> DataFrame:
     """The sum of the nine components (empty ones count as zero) and its gap to the total.
 
-    Amounts are added as decimals, so a total that matches its components has a gap of exactly
-    zero.
+    Amounts are added as whole units, so a total that matches its components has a gap of
+    exactly zero.
     """
-    parts = [F.coalesce(F.col(c).cast(EXACT), F.lit(0).cast(EXACT)) for c in TOTAL_COMPONENTS]
-    total = sum(parts[1:], parts[0]).cast(EXACT)
-    gap = F.col("total_amount").cast(EXACT) - total
+    total = reduce(Column.__add__, [F.coalesce(units(c), F.lit(0)) for c in TOTAL_COMPONENTS])
     return trips.withColumns(
-        {"calculated_total": total.cast("double"), "total_difference": gap.cast("double")}
+        {
+            "calculated_total": total / UNITS,
+            "total_difference": (units("total_amount") - total) / UNITS,
+        }
     )
 
 

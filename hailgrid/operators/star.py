@@ -78,7 +78,7 @@ def fact_demand(daily: DataFrame) -> DataFrame:
 def fact_trips(business: DataFrame) -> DataFrame:
     """Trip count and eight sums per zone, date, hour and payment type.
 
-    Sums run on exact decimals, so they are the same however the trips are partitioned. Counts
+    Sums run on exact units, so they are the same however the trips are partitioned. Counts
     stay BIGINT and sums DECIMAL(18,2): one busy slot must not overflow.
     """
     return (

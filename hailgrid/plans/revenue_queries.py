@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hailgrid.fixed import AIRPORT_SERVICE_ZONE, CREDIT_CARD, DISTANCE_BANDS
-from hailgrid.functions.money import ratio
+from hailgrid.functions.money import exact_sum, ratio
 from hailgrid.plans.demand_queries import LABELS, checked_limit, first_ranked, share_of_total
 
 
@@ -122,8 +122,20 @@ def distance_band(distance: Column) -> tuple[Column, Column]:
 
 def trip_distance_bands(facts: DataFrame) -> DataFrame:
     """Mean amounts per trip by distance band; a fact row is banded by its summed distance."""
+    label, order = distance_band(F.col("trip_distance"))
+    return _band_figures(facts.select("*", label, order))
+
+
+def trip_distance_bands_per_trip(business: DataFrame) -> DataFrame:
+    """The same figures with every trip banded by its own distance."""
+    sums = [exact_sum(c).alias(c) for c in ("fare_amount", "total_amount", "tip_amount")]
+    trips = F.count(F.lit(1)).alias("trip_count")
+    return _band_figures(business.groupBy(*distance_band(F.col("trip_distance"))).agg(trips, *sums))
+
+
+def _band_figures(banded: DataFrame) -> DataFrame:
     return (
-        facts.groupBy(*distance_band(F.col("trip_distance")))
+        banded.groupBy("distance_band", "distance_order")
         .agg(
             _trips(),
             _per_trip("fare_amount", "avg_fare_per_trip"),
@@ -134,13 +146,6 @@ def trip_distance_bands(facts: DataFrame) -> DataFrame:
     )
 
 
-def trip_distance_bands_per_trip(business: DataFrame) -> DataFrame:
-    """The same figures with every trip banded by its own distance."""
-    money = [F.col(c).cast("decimal(18,2)").alias(c) for c in ("fare_amount", "total_amount", "tip_amount")]
-    trips = business.select("trip_distance", F.lit(1).alias("trip_count"), *money)
-    return trip_distance_bands(trips)
-
-
 def airport_zones(facts: DataFrame, zones: DataFrame, limit: int = 10) -> DataFrame:
     """The airports among the top revenue zones."""
     top = revenue_by_zone(facts, zones, limit)

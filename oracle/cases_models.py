@@ -20,7 +20,7 @@ from hailgrid.operators import profiles as p
 from hailgrid.operators.demand import complete_grid
 from hailgrid.operators.history import demand_features
 from hailgrid.plans import forecast_queries as f
-from hailgrid.sinks.writers import sink_months
+from hailgrid.sinks.writers import sink_months, sink_overwrite
 from oracle.cases_demand import rounded
 from oracle.registry import check
 
@@ -392,7 +392,9 @@ def _lookup_sql(requests: str) -> str:
 
 
 def lookup(t, requests):
-    profile = fut.future_profiles(t.monthly_demand).where(HOLES)
+    path = t.folder("profile")
+    sink_overwrite(fut.future_profiles(t.monthly_demand).where(HOLES), path)
+    profile = t.spark.read.parquet(path)
     cut = F.expr(f"TIMESTAMP_NTZ '{CUT}'")
     return rounded(f.forecast_lookup_batch(requests, profile, cut, PROFILE_MODEL))
 
