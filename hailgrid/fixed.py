@@ -3,6 +3,8 @@
 # --- Trip files -------------------------------------------------------------------------
 PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
+# Monthly files are named by this prefix, the year and the month.
+TRIP_FILE_PREFIX = "yellow_tripdata_"
 
 # One physical trip is recognised by these six columns.
 TRIP_KEY = [

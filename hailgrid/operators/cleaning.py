@@ -69,29 +69,38 @@ def drop_reversals(trips: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> Da
     A key with an empty field never matches, so such records stay. A key qualifies when it has
     both a negative and a non-negative fare. The number of negative fares bounds how many keys
     can qualify: up to ``broadcast_rows`` the keys are broadcast and no trip is shuffled.
-    Beyond that both joins shuffle. Before the first, copies of a key are combined. For the
-    second, trips carry a salt and the few reversed keys are repeated once per salt, so a key
-    that holds a large part of all trips is spread over many tasks. ``broadcast_rows=0`` skips
-    the count and always shuffles.
+    ``broadcast_rows=0`` skips the count and always shuffles.
+    """
+    small = within(trips.where(CHARGED_BACK), broadcast_rows)
+    return drop_few_reversals(trips) if small else drop_many_reversals(trips)
+
+
+def drop_few_reversals(trips: DataFrame) -> DataFrame:
+    """Reversal removal with broadcast keys, for a number of negative fares that was checked."""
+    return trips.join(F.broadcast(_reversed_keys(trips, True)), TRIP_KEY, "left_anti")
+
+
+def drop_many_reversals(trips: DataFrame) -> DataFrame:
+    """Reversal removal with shuffled joins.
+
+    Copies of a key are combined before the first join. For the second, trips carry a salt and
+    the few reversed keys are repeated once per salt, so a key that holds a large part of all
+    trips is spread over many tasks. The salt is the input partition's number, so a retried
+    task salts its rows the same way.
     """
-    charged_back = trips.where(CHARGED_BACK)
-    small = within(charged_back, broadcast_rows)
-    suspects = charged_back.select(*TRIP_KEY).dropna().distinct()
-    reversed_keys = (
-        trips.where(CHARGED)
-        .select(*TRIP_KEY)
-        .distinct()
-        .join(hinted(suspects, small), TRIP_KEY, "left_semi")
-    )
-    if small:
-        return trips.join(F.broadcast(reversed_keys), TRIP_KEY, "left_anti")
-    # The salt is the input partition's number: a retried task salts its rows the same way.
     salted = trips.withColumn("salt", F.spark_partition_id() % SALTS)
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    repeated = reversed_keys.withColumn("salt", salts)
+    repeated = _reversed_keys(trips, False).withColumn("salt", salts)
     return salted.join(repeated, [*TRIP_KEY, "salt"], "left_anti").drop("salt")
 
 
+def _reversed_keys(trips: DataFrame, small: bool) -> DataFrame:
+    """Complete keys that have both a negative and a non-negative fare."""
+    suspects = trips.where(CHARGED_BACK).select(*TRIP_KEY).dropna().distinct()
+    charged = trips.where(CHARGED).select(*TRIP_KEY).distinct()
+    return charged.join(hinted(suspects, small), TRIP_KEY, "left_semi")
+
+
 def clean_trips(trips: DataFrame, start, end, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Window, chronology and reversal removal in this order."""
     in_time = filter_chronological(filter_time_window(trips, start, end))

@@ -10,7 +10,7 @@ from hailgrid.functions.calendar import iso_weekday, weekday_name
 from hailgrid.functions.sizing import BROADCAST_ROWS, within
 from hailgrid.operators.cleaning import (
     CHARGED_BACK,
-    drop_reversals,
+    drop_few_reversals,
     filter_chronological,
     filter_time_window,
 )
@@ -42,7 +42,7 @@ def clean_hourly_demand(
     """
     in_time = filter_chronological(filter_time_window(trips, start, end))
     if within(in_time.where(CHARGED_BACK), broadcast_rows):
-        return hourly_demand(drop_reversals(in_time, broadcast_rows))
+        return hourly_demand(drop_few_reversals(in_time))
     per_key = in_time.groupBy(*TRIP_KEY).agg(
         F.count(F.lit(1)).alias("records"),
         F.min("fare_amount").alias("min_fare"),

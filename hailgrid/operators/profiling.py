@@ -270,11 +270,15 @@ def all_null_counts(trips: DataFrame, by: str) -> DataFrame:
 # --- Zones and grid ---------------------------------------------------------------------
 
 
-def distinct_zones(rows: DataFrame, column: str = "PULocationID") -> DataFrame:
+def distinct_zones(
+    rows: DataFrame, column: str = "PULocationID", approximate: bool = False
+) -> DataFrame:
+    """Smallest, largest and number of distinct zones, exact or from a sketch."""
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
     return rows.agg(
         F.min(column).alias("min_zone"),
         F.max(column).alias("max_zone"),
-        F.count_distinct(column).alias("distinct_zones"),
+        distinct(column).alias("distinct_zones"),
     )
 
 

@@ -56,7 +56,7 @@ def refresh_period(
     sink_months(business_trips(trips, start, end), f"{root}/business_trips", "pickup_date", True)
     features = spark.read.parquet(f"{root}/features")
     business = spark.read.parquet(f"{root}/business_trips")
-    _write_star(spark, zones, features, business, root, True)
+    full_refresh_star(spark, zones, features, business, root)
 
 
 def rebuild_month(
@@ -69,7 +69,7 @@ def rebuild_month(
     sink_months(business_trips(trips, *span), f"{root}/business_trips", "pickup_date")
     features = stored_months(spark, f"{root}/features", (year, month))
     business = stored_months(spark, f"{root}/business_trips", (year, month))
-    _write_star(spark, zones, features, business, root, False)
+    _write_star(spark, zones, features, business, root, (year, month))
 
 
 def rebuild_month_features(
@@ -89,23 +89,17 @@ def full_refresh_star(
     spark: SparkSession, zones: DataFrame, features: DataFrame, business: DataFrame, root: str
 ) -> None:
     """Rebuild all dimensions and facts."""
-    _write_star(spark, zones, features, business, root, True)
+    _write_star(spark, zones, features, business, root, None)
 
 
-def _write_star(spark, zones, features, business, root: str, replace_all: bool) -> None:
-    daily_path, star = f"{root}/zone_hour_daily", f"{root}/star"
-    sink_zone_hour_daily(zone_hour_daily(features, zones), daily_path, replace_all)
-    months = [] if replace_all else _months_of(features)
-    daily = stored_months(spark, daily_path, *months) if months else spark.read.parquet(daily_path)
+def _write_star(spark, zones, features, business, root: str, month: tuple[int, int] | None) -> None:
+    """Write the star tables from the given slices; without a month they replace everything."""
+    daily_path, star, everything = f"{root}/zone_hour_daily", f"{root}/star", month is None
+    sink_zone_hour_daily(zone_hour_daily(features, zones), daily_path, everything)
+    daily = spark.read.parquet(daily_path) if everything else stored_months(spark, daily_path, month)
     sink_overwrite(dim_zone(zones), f"{star}/dim_zone")
     sink_overwrite(dim_hour(spark), f"{star}/dim_hour")
     sink_overwrite(dim_payment(spark), f"{star}/dim_payment")
-    sink_months(dim_date(daily), f"{star}/dim_date", "full_date", replace_all)
-    sink_months(fact_demand(daily), f"{star}/fact_demand", "pickup_date", replace_all)
-    sink_months(fact_trips(business), f"{star}/fact_trips", "pickup_date", replace_all)
-
-
-def _months_of(features: DataFrame) -> list[tuple[int, int]]:
-    """The few (year, month) partitions a dataset slice consists of."""
-    return [(row["year"], row["month"]) for row in features.select("year", "month").distinct().collect()]
-
+    sink_months(dim_date(daily), f"{star}/dim_date", "full_date", everything)
+    sink_months(fact_demand(daily), f"{star}/fact_demand", "pickup_date", everything)
+    sink_months(fact_trips(business), f"{star}/fact_trips", "pickup_date", everything)

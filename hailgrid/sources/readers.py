@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hailgrid.fixed import ZONE_LOOKUP_DDL
+from hailgrid.fixed import TRIP_FILE_PREFIX, ZONE_LOOKUP_DDL
 from hailgrid.functions.calendar import month_span
 from hailgrid.operators.cleaning import filter_time_window
 from hailgrid.sources.contract import validate_trip_schema
@@ -31,10 +31,10 @@ def scan_trips(
     return filter_time_window(trips, *bounds)
 
 
-def trip_month_file(root: str, year: int, month: int, prefix: str = "yellow_tripdata_") -> str:
+def trip_month_file(root: str, year: int, month: int) -> str:
     """Location of one month's file below ``root``."""
     month_span(year, month)
-    return f"{root.rstrip('/')}/{prefix}{year}-{month:02d}.parquet"
+    return f"{root.rstrip('/')}/{TRIP_FILE_PREFIX}{year}-{month:02d}.parquet"
 
 
 def scan_trips_month(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
@@ -46,7 +46,7 @@ def scan_trips_month(spark: SparkSession, root: str, year: int, month: int) -> D
 
 def scan_trips_range(spark: SparkSession, root: str, year: int) -> DataFrame:
     """All monthly files of a year below ``root``."""
-    trips = spark.read.parquet(f"{root.rstrip('/')}/yellow_tripdata_{year}-*.parquet")
+    trips = spark.read.parquet(f"{root.rstrip('/')}/{TRIP_FILE_PREFIX}{year}-*.parquet")
     validate_trip_schema(trips)
     return trips
 

@@ -67,9 +67,6 @@ def _(t):
     return d.sorted_zone_hour_daily(t.grid, t.zones)
 
 
-TIME_COLUMNS = "hour, day_of_week, day_of_month, is_weekend, hour_sin, hour_cos, dow_sin, dow_cos"
-
-
 @check("time_features", "SELECT * FROM timed_features")
 def _(t):
     return rounded(with_time_features(t.grid))

@@ -9,6 +9,9 @@ from hailgrid.models import historical as hist
 from hailgrid.models.evaluation import winner_name
 from hailgrid.operators.demand import complete_grid
 from hailgrid.operators.history import demand_features
+from hailgrid.plans import forecast_queries as questions
+from hailgrid.plans import publish
+from hailgrid.sinks.snapshots import read_snapshot
 from tests.rows import demand_frame, zones_frame
 
 TINY = {
@@ -75,3 +78,25 @@ def test_historical_run(spark, demand, tmp_path):
     served = tables["historical_model_prediction"]
     assert {r["location_id"] for r in served.select("location_id").distinct().collect()} == {1}
     assert served.first()["trained_through"] == datetime(2024, 6, 28, 23)
+
+
+def test_publishing_jobs(spark, demand, tmp_path):
+    root = str(tmp_path)
+    assert publish.select_future_model(demand, root, TINY) == PROFILE_MODEL
+    publish.publish_future_forecast(spark, demand, root, TINY)
+    forecast = f"{root}/future_forecast"
+    described = questions.forecast_metadata(read_snapshot(spark, forecast, "future_forecast_metadata")).first()
+    assert described["production_model"] == PROFILE_MODEL
+    assert described["profile_rows"] == read_snapshot(spark, forecast, "future_demand_profile").count()
+    metrics = questions.future_model_metrics(read_snapshot(spark, forecast, "future_model_metric")).collect()
+    assert metrics[0]["model"] == PROFILE_MODEL and metrics[0]["backtest_months"] == 4
+
+    grid = complete_grid(demand, zones_frame(spark, 1, 2), "2024-05-01 00:00:00", "2024-06-28 23:00:00")
+    publish.publish_historical_model(
+        spark, demand_features(grid), zones_frame(spark, 1, 2), root, numTrees=2, maxDepth=2
+    )
+    served = read_snapshot(spark, f"{root}/historical_model", "historical_model_metric")
+    assert questions.historical_model_metrics(served).count() == 2
+    importance = read_snapshot(spark, f"{root}/historical_model", "historical_feature_importance")
+    ranked = [r["importance"] for r in questions.feature_importance_ranked(importance).collect()]
+    assert ranked == sorted(ranked, reverse=True)
