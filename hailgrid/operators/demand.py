@@ -16,6 +16,7 @@ from hailgrid.operators.cleaning import (
 )
 
 SLOT = ["LocationID", "pickup_hour"]
+GRID_TASKS = 16
 
 
 def hourly_demand(trips: DataFrame) -> DataFrame:
@@ -57,15 +58,15 @@ def clean_hourly_demand(
 def zone_hours(zones: DataFrame, first_hour: str, last_hour: str) -> DataFrame:
     """Every zone at every hour from ``first_hour`` to ``last_hour`` inclusive.
 
-    Each zone row generates its own hours, so there is no join. Spreading the zones first lets
-    many tasks generate.
+    Each zone row generates its own hours, so there is no join. The few zones are first spread
+    over a fixed number of tasks, which adaptive execution does not merge again.
     """
     hours = F.expr(
         f"sequence(TIMESTAMP_NTZ '{first_hour}', TIMESTAMP_NTZ '{last_hour}', INTERVAL 1 HOUR)"
     )
     return (
         zones.select("LocationID")
-        .repartition("LocationID")
+        .repartition(GRID_TASKS, "LocationID")
         .select("LocationID", F.explode(hours).alias("pickup_hour"))
     )
 
