@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hailgrid.llm.arrow import column, slices
-from hailgrid.llm.files import read_range, write_file
+from hailgrid.llm.files import read_range, unique, write_file
 
 MAGIC = b"IDPLANE1"
 #: Ids of a chunk.
@@ -190,7 +190,7 @@ def write_ids(
         pending = 0
 
         def close() -> pa.RecordBatch:
-            name = f"ids-{task:06d}-{number:04d}.idp"
+            name = unique(f"ids-{task:06d}-{number:04d}", ".idp")
             data = shard(keys, documents, kind, block)
             write_file(folder, name, data)
             row = [task, number, name, len(keys), pending, len(data)]

@@ -1,8 +1,10 @@
 """Files that tasks write next to Spark's own: archives and shards in formats Spark has no writer for.
 
-A task writes under a name of its own and moves the file into place when it is whole, so a retried or
-doubled task leaves one complete file. Folders are those of ``hailgrid.functions.storage``, which all
-executors reach; any address that ``pyarrow.fs`` knows (local, HDFS, object stores) will do.
+Every attempt of a task writes under names of its own and returns them as rows. The table of those rows,
+the manifest, is written by Spark, which keeps the rows of one attempt for each task; files that it
+doesn't name are left-overs of lost attempts, and readers skip their rows. A file appears under its name
+when it is whole. Folders are those of ``hailgrid.functions.storage``, which all executors reach; any
+address that ``pyarrow.fs`` knows (local, HDFS, object stores) will do.
 """
 
 from __future__ import annotations
@@ -17,20 +19,17 @@ def _opened(folder: str) -> tuple[fs.FileSystem, str]:
     return store, path.rstrip("/")
 
 
+def unique(stem: str, ending: str) -> str:
+    return f"{stem}-{uuid.uuid4().hex[:12]}{ending}"
+
+
 def write_file(folder: str, name: str, data: bytes) -> None:
-    """Put ``data`` into ``folder/name`` in one step."""
+    """Put ``data`` into ``folder/name``, a new name, in one step."""
     store, path = _opened(folder)
     store.create_dir(path, recursive=True)
-    draft = f"{path}/.{name}.{uuid.uuid4().hex}"
-    with store.open_output_stream(draft) as out:
+    with store.open_output_stream(f"{path}/.{name}", compression=None) as out:
         out.write(data)
-    try:
-        store.move(draft, f"{path}/{name}")
-    except OSError:
-        # Some stores refuse to move onto a file that an earlier attempt has finished.
-        if store.get_file_info(f"{path}/{name}").type != fs.FileType.File:
-            raise
-        store.delete_file(draft)
+    store.move(f"{path}/.{name}", f"{path}/{name}")
 
 
 def read_range(folder: str, name: str, start: int, size: int) -> bytes:

@@ -7,9 +7,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hailgrid.functions.storage import new_folder
-from hailgrid.llm import bitplane, bpe
+from hailgrid.llm import bitplane, bpe, mixing, mixing_sql, warc
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -58,3 +59,51 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode all documents."""
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.digests(bpe.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), path))
+
+
+@query(
+    "op10_zstd_warc",
+    """
+    WITH held AS (
+        SELECT page_id, coalesce(html, '') AS payload FROM pages
+    ), sized AS (
+        SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
+            max(page_id) OVER (PARTITION BY payload) AS last_id FROM held
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
+    FROM sized
+    """,
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages to archives and read the archives back."""
+    pages, folder = table(spark, sf_dir, "pages"), new_folder(spark, "warc")
+    manifest = warc.write_archives(warc.identified(pages), folder, warc.train(pages))
+    return warc.digests(warc.read_archives(spark, folder, payloads=False), manifest)
+
+
+# A mixture of production shape: four domains of sources, languages below them, sources below those.
+DOMAIN = "concat('d', try_cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 4)"
+DOMAIN_SQL = "'d' || try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 4"
+WEIGHTS = {"d0": 40, "d1": 30, "d2": 20, "d3": 10, "en": 50, "de": 20, "fr": 20, "es": 10, "d3/en": 25}
+TOKENS, TOKENS_SQL = "(octet_length(text) + 3) div 4", "(strlen(text) + 3) // 4"
+MIX_SEED = 17
+
+
+@query(
+    "op8_hierarchical_mix",
+    mixing_sql.choose_sql(
+        "documents", [("domain", DOMAIN_SQL), ("lang", "lang"), ("source", "source")], TOKENS_SQL, WEIGHTS,
+        fraction=(6, 10), max_epochs=3, seed=MIX_SEED,
+        out="doc_id, k_domain AS domain, k_lang AS lang, k_source AS source, t_::BIGINT AS tokens, copies",
+    ),
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the weights; one row per document taken, with its number of epochs."""
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", F.expr(DOMAIN).alias("domain"), "lang", "source", F.expr(TOKENS).cast("long").alias("tokens")
+    )
+    keys = ["domain", "lang", "source"]
+    chosen = mixing.choose(rows, keys, F.col("tokens"), WEIGHTS, (6, 10), max_epochs=3, seed=MIX_SEED)
+    return chosen.withColumns({k: mixing.name_of(k) for k in keys})
