@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hailgrid.functions.storage import new_folder
-from hailgrid.llm import bitplane, bpe, mixing, mixing_sql, warc
+from hailgrid.llm import bitplane, bpe, mixing, mixing_sql, syncmers, warc
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -107,3 +107,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["domain", "lang", "source"]
     chosen = mixing.choose(rows, keys, F.col("tokens"), WEIGHTS, (6, 10), max_epochs=3, seed=MIX_SEED)
     return chosen.withColumns({k: mixing.name_of(k) for k in keys})
+
+
+@query("op5_closed_syncmers")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and their likeness to both."""
+    folder = new_folder(spark, "syncmers")
+    return syncmers.digests(syncmers.compare_neighbours(table(spark, sf_dir, "documents"), folder))
