@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hailgrid.functions.storage import new_folder
-from hailgrid.llm import bitplane, bpe, mixing, mixing_sql, syncmers, warc
+from hailgrid.llm import anchors, bitplane, bpe, mixing, mixing_sql, syncmers, warc
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -114,3 +114,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, and their likeness to both."""
     folder = new_folder(spark, "syncmers")
     return syncmers.digests(syncmers.compare_neighbours(table(spark, sf_dir, "documents"), folder))
+
+
+@query("op3_fixed_block_anchors")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages that an earlier document has."""
+    return anchors.digests(anchors.repeats(table(spark, sf_dir, "documents")))

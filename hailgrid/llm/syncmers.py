@@ -26,49 +26,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hailgrid.llm.arrow import batch_of, column, slices
+from hailgrid.llm.rolling import mixed, runs, smallest
 
 K, S = 24, 8
 SHORT = (6, 2)
 KEPT = 48
 PIECE = 1 << 19
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Spread the information of 64-bit numbers over all their bits."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    x ^= x >> np.uint64(32)
-    return x
-
-
-def _runs(x: np.ndarray, length: int) -> np.ndarray:
-    """A polynomial over each run of ``length`` numbers, made from runs of powers of two."""
-    out, done, power, run, weight = None, 0, 1, x, _BASE
-    with np.errstate(over="ignore"):
-        while power <= length:
-            if length & power:
-                if out is None:
-                    out, done = run, power
-                else:
-                    n = len(x) - done - power + 1
-                    out = out[:n] * weight + run[done : done + n]
-                    done += power
-            run = run[:-power] * weight + run[power:] if len(run) > power else run[:0]
-            weight = weight * weight
-            power *= 2
-    return out
-
-
-def _smallest(x: np.ndarray, width: int) -> np.ndarray:
-    """The minimum of each window of ``width`` numbers."""
-    power = 1
-    while power * 2 <= width:
-        x = np.minimum(x[:-power], x[power:])
-        power *= 2
-    rest = width - power
-    return np.minimum(x[:-rest], x[rest:]) if rest else x
 
 
 def anchors(text: str, k: int = K, s: int = S) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -78,11 +41,11 @@ def anchors(text: str, k: int = K, s: int = S) -> Iterator[tuple[np.ndarray, np.
         if len(part) < k:
             return
         letters = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
-        inner = _mixed(_runs(letters, s))
-        least = _smallest(inner, k - s + 1)
+        inner = mixed(runs(letters, s))
+        least = smallest(inner, k - s + 1)
         n = len(least)
         at = np.flatnonzero((inner[:n] == least) | (inner[k - s : k - s + n] == least))
-        yield at + start, _mixed(_runs(letters, k)[at])
+        yield at + start, mixed(runs(letters, k)[at])
 
 
 def _least(text: str, kept: int, k: int, s: int) -> np.ndarray:
