@@ -39,19 +39,23 @@ BLOCK = 1 << 16
 #: Ids after which a file is closed: 16 MB before compression.
 FILE_IDS = 4 << 20
 LEVEL = 3
-#: Words whose ids a Python worker remembers; a full memory starts again.
-REMEMBERED = 400_000
+#: Words, and letters of words, whose ids a Python worker remembers; a full memory starts again.
+REMEMBERED, REMEMBERED_LETTERS = 200_000, 500_000
 #: Blanks that every splitting rule drops; other blanks are left to the tokenizer.
 WORDS = re.compile(r"[^ \t\n\r]+")
+#: Words that are split and lower-cased letter by letter: Latin letters without combining marks.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
 
 MANIFEST = "task int, file int, name string, documents long, ids long, bytes long"
 DOCUMENTS = "name string, doc_id long, first long, ids binary"
 
 
 class Words:
-    """Ids of texts by a tokenizer that drops blanks and never joins words across them.
+    """Ids of texts by a tokenizer that drops blanks, lowers case and never joins words across blanks.
 
-    Every word is encoded by the tokenizers library, once as long as it is remembered.
+    Words are encoded by the tokenizers library, once as long as they are remembered. Most words are
+    letters with perhaps a full stop or comma behind; their lower-cased letters are remembered apart, and
+    new ones are encoded together as one text, whose ids are divided after each id that ends a word.
     """
 
     def __init__(self, path: str):
@@ -60,16 +64,50 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_word[[number for token, number in vocab.items() if token.endswith("</w>")]] = True
+        self.marks = {mark: self._one(mark) for mark in ("", ".", ",")}
+
+    def _one(self, word: str) -> bytes:
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _learn_letters(self, new: list[str]) -> None:
+        ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(new):
+            self.letters.update((word, self._one(word)) for word in new)
+            return
+        packed, bounds = ids.tobytes(), (4 * ends).tolist()
+        for word, start, end in zip(new, [0, *bounds], bounds):
+            self.letters[word] = packed[start:end]
+
+    def _learn(self, new: list[str]) -> None:
+        plain, other = [], []
+        for word in new:
+            found = PLAIN.fullmatch(word)
+            if found:
+                plain.append((word, found[1].lower(), found[2]))
+            else:
+                other.append(word)
+        unknown = list({letters for _, letters, _ in plain}.difference(self.letters))
+        for start in range(0, len(unknown), 4096):
+            self._learn_letters(unknown[start : start + 4096])
+        for word, letters, mark in plain:
+            self.known[word] = self.letters[letters] + self.marks[mark]
+        for word, got in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            self.known[word] = struct.pack(f"<{len(got.ids)}I", *got.ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [WORDS.findall(text or "") for text in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        known = self.known
-        new = list(set().union(*split).difference(known))
-        for word, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[word] = struct.pack(f"<{len(got.ids)}I", *got.ids)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        if len(self.letters) > REMEMBERED_LETTERS:
+            self.letters.clear()
+        self._learn(list(set().union(*split).difference(self.known)))
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
 @lru_cache(maxsize=4)

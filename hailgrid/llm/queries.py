@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hailgrid.functions.storage import new_folder
-from hailgrid.llm import anchors, bitplane, bpe, mixing, mixing_sql, syncmers, warc
+from hailgrid.llm import anchors, bitplane, bpe, mixing, mixing_sql, ngram_join, syncmers, warc
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -120,3 +120,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the passages that an earlier document has."""
     return anchors.digests(anchors.repeats(table(spark, sf_dir, "documents")))
+
+
+@query("op7_ngram_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the component of their near copies."""
+    return ngram_join.join(table(spark, sf_dir, "documents"), new_folder(spark, "ngram_join"))
