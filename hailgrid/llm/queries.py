@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hailgrid.functions.storage import new_folder
-from hailgrid.llm import anchors, bitplane, bpe, mixing, mixing_sql, ngram_join, syncmers, warc
+from hailgrid.llm import anchors, bitplane, bpe, line_chunks, mixing, mixing_sql, ngram_join, syncmers, warc
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -126,3 +126,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the component of their near copies."""
     return ngram_join.join(table(spark, sf_dir, "documents"), new_folder(spark, "ngram_join"))
+
+
+@query("op9_line_chunks")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without runs of lines that occur before."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_chunks.digests(line_chunks.remove(rows, new_folder(spark, "line_chunks")))
