@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hailgrid.functions.storage import new_folder
-from hailgrid.llm import anchors, bitplane, bpe, line_chunks, mixing, mixing_sql, ngram_join, syncmers, warc
+from hailgrid.llm import anchors, bitplane, bpe, language, line_chunks, mixing, mixing_sql, ngram_join, syncmers, warc
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -133,3 +133,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without runs of lines that occur before."""
     rows = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_chunks.digests(line_chunks.remove(rows, new_folder(spark, "line_chunks")))
+
+
+@query("op2_language_evidence")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents; the source is the host, and ``lang`` what it declares."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return language.identify(rows, language.train(rows), new_folder(spark, "language"))
