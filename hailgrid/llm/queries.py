@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hailgrid.functions.storage import new_folder
-from hailgrid.llm import anchors, bitplane, bpe, language, line_chunks, mixing, mixing_sql, ngram_join, syncmers, warc
+from hailgrid.llm import anchors, bitplane, bpe, language, line_chunks, mixing, mixing_sql, mtree, ngram_join, syncmers, warc
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -140,3 +140,24 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of all documents; the source is the host, and ``lang`` what it declares."""
     rows = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return language.identify(rows, language.train(rows), new_folder(spark, "language"))
+
+
+@query(
+    "op4_mtree_top5",
+    """
+    WITH held AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+        WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x::DOUBLE[], c.x::DOUBLE[]) AS BIGINT) AS score
+        FROM held q JOIN held c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every fiftieth vector."""
+    rows = table(spark, sf_dir, "embeddings")
+    return mtree.top(rows, new_folder(spark, "mtree"), F.col("vec_id") % 50 == 0)
