@@ -238,10 +238,10 @@ def encode_and_decode(rows: DataFrame, path: str, text: str = "text") -> DataFra
     return _added(rows, text, path, ("ids", "decoded"), both)
 
 
-def digests(encoded: DataFrame, key: str = "doc_id") -> DataFrame:
+def digests(encoded: DataFrame, *keep: str) -> DataFrame:
     """Per row of ``encode_and_decode``: how many ids there are, and digests of ids and text."""
     return encoded.select(
-        key,
+        *(keep or ("doc_id",)),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

@@ -122,7 +122,7 @@ def train(rows: DataFrame, key: str = "doc_id", text: str = "text", label: str =
             yield pa.RecordBatch.from_arrays([pa.array([head]), pa.array([table], pa.binary())], names=["head", "table"])
 
     # One task, for the sample is bounded.
-    head, table = sample.limit(SAMPLE_ROWS).repartition(1).mapInArrow(work, "head string, table binary").first()
+    head, table = sample.limit(SAMPLE_ROWS).repartition(1).mapInArrow(work, "head string, table binary").collect()[0]
     return Model.unpack(head, bytes(table))
 
 
