@@ -155,30 +155,31 @@ def identify(
 ) -> DataFrame:
     """``key, language, posterior, text_language, declared, n_trigrams, accepted`` per row, and ``keep``."""
     spark = rows.sparkSession
+    if model is None:
+        kinds = "language string, posterior double, text_language string, declared string, n_trigrams long, accepted boolean"
+        none = rows.select(F.col(key).cast("long").alias(key), *keep).where(F.lit(False))
+        return none.select("*", *[F.lit(None).cast(x.split()[1]).alias(x.split()[0]) for x in kinds.split(", ")])
     column_of = lambda x: F.lit(None).cast("string") if x is None else F.col(x) if isinstance(x, str) else x
     told = F.lower(F.regexp_extract(column_of(declared).cast("string"), r"^\s*([A-Za-z]{2,3})\b", 1))
     given = rows.select(
         F.col(key).cast("long").alias("key"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)],
         F.col(text).cast("string").alias("text"), told.alias("declared"), F.lower(column_of(host).cast("string")).alias("host"),
     )
-    languages = model.languages if model else []
-    packed = spark.sparkContext.broadcast(model.pack() if model else None)  # a fixed size for each language
+    languages = model.languages
+    packed = spark.sparkContext.broadcast(model.pack())  # a fixed size for each language
     plain = [c for c in given.columns if c != "text"]
     schema = given.select(*plain).schema.add("n_trigrams", "long").add("above", "double").add("likelihood", T.ArrayType(T.DoubleType()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model.unpack(*packed.value) if packed.value else Model([], np.zeros((CODES, 0)))
+        own = Model.unpack(*packed.value)
         for batch in slices(batches):
             got = [own.score(x) for x in column(batch, "text")]
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in plain]
             arrays += [pa.array([x[i] for x in got], t) for i, t in enumerate((pa.int64(), pa.float64(), pa.list_(pa.float64())))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*plain, "n_trigrams", "above", "likelihood"])
 
-    if not languages:
-        scored = spark.createDataFrame([], schema)
-    else:
-        given.mapInArrow(work, schema).write.mode("overwrite").parquet(folder)
-        scored = spark.read.schema(schema).parquet(folder)
+    given.mapInArrow(work, schema).write.mode("overwrite").parquet(folder)
+    scored = spark.read.schema(schema).parquet(folder)
     each = range(len(languages))
     names = F.array(*[F.lit(x) for x in languages]).cast("array<string>")
     tempered = [F.col("likelihood")[i] * TEMPER for i in each]
@@ -194,19 +195,19 @@ def identify(
 
     # Soft counts by declared language and host: the one aggregation over all rows.
     counts = scored.groupBy("declared", "suffix", "domain", "host").agg(F.count(F.lit(1)).alias("rows"), *sums)
-    table = {x["declared"]: [x[f"n_{i}"] for i in each] for x in counts.where(F.col("declared").isin(languages)).groupBy("declared").agg(*again).collect()} if languages else {}
-    agreed = np.full((len(languages), len(languages)), DECLARED_ROWS / max(1, len(languages)))
+    table = {x["declared"]: [x[f"n_{i}"] for i in each] for x in counts.where(F.col("declared").isin(languages)).groupBy("declared").agg(*again).collect()}
+    agreed = np.full((len(languages), len(languages)), DECLARED_ROWS / len(languages))
     for i, name in enumerate(languages):
         agreed[i, i] += DECLARED_ROWS
         agreed[i] += np.array(table.get(name, [0.0] * len(languages)))
-    agreed = np.log(agreed / agreed.sum(0, keepdims=True)) if languages else agreed
+    agreed = np.log(agreed / agreed.sum(0, keepdims=True))
 
     hosts = counts.where("host is not null").groupBy("suffix", "domain", "host").agg(*again)
     domains = hosts.where("domain is not null").groupBy("suffix", "domain").agg(*again)
     suffixes = domains.groupBy("suffix").agg(*again)
-    whole = counts.agg(*again).first() if languages else None
-    n = np.array([(whole[f"n_{i}"] or 0.0) + 1.0 for i in each]) if languages else np.zeros(0)
-    base = (n / n.sum()).tolist() if languages else []
+    whole = counts.agg(*again).first()
+    n = np.array([(whole[f"n_{i}"] or 0.0) + 1.0 for i in each])
+    base = (n / n.sum()).tolist()
 
     def smoothed(level: DataFrame, above: list[Column], prefix: str) -> DataFrame:
         seen = sum((F.col(f"n_{i}") for i in each), F.lit(0.0))
