@@ -68,7 +68,6 @@ TOTAL_COMPONENTS = [
 ZONE_COLUMNS = ["LocationID", "Borough", "Zone", "service_zone"]
 ZONE_LOOKUP_DDL = "LocationID INT, Borough STRING, Zone STRING, service_zone STRING"
 AIRPORT_SERVICE_ZONE = "Airports"
-MAX_ZONE_LIMIT = 265
 
 # --- Business rules ---------------------------------------------------------------------
 BUSINESS_PAYMENT_TYPES = [1, 2, 3, 4, 5]

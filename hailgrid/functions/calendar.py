@@ -2,7 +2,8 @@
 
 Two weekday conventions live side by side and are never mixed: ``day_of_week`` counts from
 Sunday = 1 (model features), ``weekday_number`` from Monday = 1 (reports and dimensions).
-The session time zone is expected to be UTC; event times stay without zone.
+Event times stay without zone, and so does arithmetic on them: results do not depend on the time
+zone of the session.
 """
 
 from __future__ import annotations
@@ -48,6 +49,17 @@ def between_moments(df: DataFrame, column: str, start, end) -> DataFrame:
     )
 
 
+def zoneless_hour(column: str) -> Column:
+    """The start of the hour. ``date_trunc`` would go through the time zone of the session."""
+    at = F.col(column).cast("timestamp_ntz")
+    return F.to_date(at).cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(at))
+
+
+def seconds_between(first: str, last: str) -> Column:
+    """Whole seconds from one zone-less time to another, whatever the session's time zone."""
+    return F.timestamp_diff("SECOND", F.col(first).cast("timestamp_ntz"), F.col(last).cast("timestamp_ntz"))
+
+
 def iso_weekday(column: str) -> Column:
     """Monday = 1 ... Sunday = 7."""
     return F.weekday(column) + 1

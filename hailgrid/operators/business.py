@@ -12,7 +12,7 @@ from hailgrid.fixed import (
     MAX_SPEED_MPH,
     PICKUP,
 )
-from hailgrid.functions.calendar import iso_weekday
+from hailgrid.functions.calendar import iso_weekday, seconds_between
 from hailgrid.functions.sizing import BROADCAST_ROWS
 from hailgrid.operators.cleaning import clean_trips
 
@@ -28,7 +28,7 @@ def business_predicate(trips: DataFrame) -> DataFrame:
 
 def trip_metrics(trips: DataFrame) -> DataFrame:
     """Duration in minutes, fare per mile and speed; NULL where the denominator is not positive."""
-    minutes = (F.unix_timestamp(DROPOFF) - F.unix_timestamp(PICKUP)) / 60
+    minutes = seconds_between(PICKUP, DROPOFF) / 60
     miles = F.col("trip_distance")
     return trips.withColumns(
         {

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hailgrid.fixed import PICKUP, TRIP_KEY, ZONE_COLUMNS
-from hailgrid.functions.calendar import iso_weekday, weekday_name
+from hailgrid.functions.calendar import iso_weekday, weekday_name, zoneless_hour
 from hailgrid.functions.sizing import BROADCAST_ROWS, within
 from hailgrid.operators.cleaning import (
     CHARGED_BACK,
@@ -16,7 +16,6 @@ from hailgrid.operators.cleaning import (
 )
 
 SLOT = ["LocationID", "pickup_hour"]
-GRID_TASKS = 16
 
 
 def hourly_demand(trips: DataFrame) -> DataFrame:
@@ -25,7 +24,7 @@ def hourly_demand(trips: DataFrame) -> DataFrame:
 
 
 def _per_zone_hour(trips: DataFrame, demand: Column) -> DataFrame:
-    hour = F.date_trunc("hour", PICKUP).cast("timestamp_ntz")
+    hour = zoneless_hour(PICKUP)
     return trips.groupBy(
         F.col("PULocationID").alias("LocationID"), hour.alias("pickup_hour")
     ).agg(demand.alias("demand"))
@@ -58,16 +57,18 @@ def clean_hourly_demand(
 def zone_hours(zones: DataFrame, first_hour: str, last_hour: str) -> DataFrame:
     """Every zone at every hour from ``first_hour`` to ``last_hour`` inclusive.
 
-    Each zone row generates its own hours, so there is no join. The few zones are first spread
-    over a fixed number of tasks, which adaptive execution does not merge again.
+    Each zone row generates its own days and each day its hours, so there is no join. The days are
+    spread over the session's shuffle partitions, each of which then makes the hours of its days.
     """
-    hours = F.expr(
-        f"sequence(TIMESTAMP_NTZ '{first_hour}', TIMESTAMP_NTZ '{last_hour}', INTERVAL 1 HOUR)"
-    )
+    last = f"TIMESTAMP_NTZ '{last_hour}'"
+    days = F.expr(f"sequence(DATE '{str(first_hour)[:10]}', DATE '{str(last_hour)[:10]}', INTERVAL 1 DAY)")
+    hours = F.expr("sequence(cast(day AS TIMESTAMP_NTZ), cast(day AS TIMESTAMP_NTZ) + INTERVAL 23 HOURS, INTERVAL 1 HOUR)")
+    tasks = int(zones.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        zones.select("LocationID")
-        .repartition(GRID_TASKS, "LocationID")
+        zones.select("LocationID", F.explode(days).alias("day"))
+        .repartition(tasks, "LocationID", "day")
         .select("LocationID", F.explode(hours).alias("pickup_hour"))
+        .where(f"pickup_hour >= TIMESTAMP_NTZ '{first_hour}' AND pickup_hour <= {last}")
     )
 
 

@@ -29,9 +29,8 @@ from hailgrid.fixed import (
 from hailgrid.functions.calendar import moment
 from hailgrid.functions.money import UNITS, exact_mean, exact_sum, units
 
-# Accuracy of the quantile sketches: the rank error is at most rows / accuracy. Extreme tails
-# need the finest one. A sketch holds some accuracy values per input partition and column.
-COARSE, MEDIUM, FINE = 1_000, 10_000, 100_000
+# Parts into which a bucket that holds a wanted quantile is divided again.
+FINE_BUCKETS = 4096
 
 
 def _rows() -> Column:
@@ -147,57 +146,84 @@ def extreme_records(rows: DataFrame, column: str, threshold: float) -> DataFrame
         "RatecodeID",
         "payment_type",
     ]
-    return rows.where(F.col(column) > threshold).select(*shown).orderBy(F.desc(column), PICKUP)
+    rest = [name for name in shown if name not in (column, PICKUP)]
+    return rows.where(F.col(column) > threshold).select(*shown).orderBy(F.desc(column), PICKUP, *rest)
 
 
 # --- Quantiles --------------------------------------------------------------------------
 
 
-def quantile_table(
-    rows: DataFrame, columns: dict[str, Column], probabilities: list[float], accuracy: int
-) -> DataFrame:
-    """Approximate quantiles of several columns, one row per column and probability.
+def _bucket(value: Column) -> Column:
+    """A whole number that rises with the value: sign and 64 steps per power of two."""
+    steps = F.floor(F.log2(1 + F.abs(value) * 1024) * 64)
+    return F.when(value < 0, -steps).otherwise(steps)
+
 
-    All columns share one pass over mergeable sketches whose size depends on the accuracy, not
-    on the data. With fewer rows than ``accuracy`` the quantiles are exact.
+def _holding(counts: DataFrame, whole: list[str], part: str, wanted: DataFrame) -> DataFrame:
+    """For each wanted rank the part that holds it, and the rank within that part.
+
+    ``counts`` has ``n`` rows for each part of ``whole``; ``wanted`` has a rank for each probability.
     """
-    sketches = rows.agg(
-        *[
-            F.percentile_approx(value.cast("double"), probabilities, accuracy).alias(name)
-            for name, value in columns.items()
-        ]
-    )
-    levels = F.array(*[F.lit(float(p)) for p in probabilities])
-    return sketches.unpivot([], list(columns), "column_name", "quantiles").select(
-        "column_name", F.explode(F.arrays_zip(levels.alias("p"), "quantiles")).alias("level")
-    ).select(
-        "column_name",
-        F.col("level.p").alias("probability"),
-        F.col("level.quantiles").alias("quantile_value"),
-    )
+    order = Window.partitionBy(*whole).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    held = (F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n"))
+    return placed.join(wanted, whole).where(held).withColumn("rank", F.col("rank") - F.col("before"))
+
 
+def quantile_table(rows: DataFrame, columns: dict[str, Column], probabilities: list[float]) -> DataFrame:
+    """Exact quantiles of several columns, one row per column and probability.
 
-def duration_quantiles(trips: DataFrame, accuracy: int = COARSE) -> DataFrame:
+    The quantile is the smallest value that a share of ``p`` of the known values does not exceed. Rows
+    are counted by coarse buckets of the value; those that hold a wanted rank are counted by finer
+    buckets, and of these only the distinct values are ordered. Each of the three passes shuffles
+    counts, so neither many rows nor a frequent value gather in a task. A column without values has
+    no quantiles.
+    """
+    values = rows.select(*[value.cast("double").alias(name) for name, value in columns.items()])
+    values = values.unpivot([], list(columns), "column_name", "value")
+    values = values.where(F.col("value").isNotNull() & ~F.isnan("value")).withColumn("coarse", _bucket(F.col("value")))
+    counts = values.groupBy("column_name", "coarse").agg(
+        _rows().alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    levels = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
+    wanted = counts.groupBy("column_name").agg(F.sum("n").alias("known")).select("column_name", "known", levels)
+    wanted = wanted.withColumn("rank", F.greatest(F.ceil(F.col("probability") * F.col("known")), F.lit(1))).drop("known")
+    coarse = _holding(counts, ["column_name"], "coarse", wanted).drop("n", "before")
+
+    # At most one bucket for each column and probability.
+    whole = ["column_name", "coarse"]
+    within = F.broadcast(coarse.select(*whole, "low", "high").distinct())
+    share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * FINE_BUCKETS
+    fine = F.when(F.col("high") > F.col("low"), F.least(F.floor(share), F.lit(FINE_BUCKETS - 1))).otherwise(0)
+    finer = values.join(within, whole).withColumn("fine", fine)
+    counts = finer.groupBy(*whole, "fine").agg(_rows().alias("n"))
+    ranks = _holding(counts, whole, "fine", coarse.select(*whole, "probability", "rank")).drop("n", "before")
+
+    whole = [*whole, "fine"]
+    within = F.broadcast(ranks.select(*whole).distinct())
+    counts = finer.join(within, whole).groupBy(*whole, "value").agg(_rows().alias("n"))
+    found = _holding(counts, whole, "value", ranks)
+    return found.select("column_name", "probability", F.col("value").alias("quantile_value"))
+
+
+def duration_quantiles(trips: DataFrame) -> DataFrame:
     minutes = {"trip_duration_minutes": F.col("trip_duration_minutes")}
-    return quantile_table(with_whole_minutes(trips), minutes, DURATION_QUANTILES, accuracy)
+    return quantile_table(with_whole_minutes(trips), minutes, DURATION_QUANTILES)
 
 
-def distance_quantiles(trips: DataFrame, accuracy: int = COARSE) -> DataFrame:
-    miles = {"trip_distance": F.col("trip_distance")}
-    return quantile_table(trips, miles, DISTANCE_QUANTILES, accuracy)
+def distance_quantiles(trips: DataFrame) -> DataFrame:
+    return quantile_table(trips, {"trip_distance": F.col("trip_distance")}, DISTANCE_QUANTILES)
 
 
-def amount_quantiles(
-    trips: DataFrame, probabilities: list[float] = AMOUNT_QUANTILES, accuracy: int = MEDIUM
-) -> DataFrame:
-    return quantile_table(trips, {c: F.col(c) for c in MONEY_COLUMNS}, probabilities, accuracy)
+def amount_quantiles(trips: DataFrame, probabilities: list[float] = AMOUNT_QUANTILES) -> DataFrame:
+    return quantile_table(trips, {c: F.col(c) for c in MONEY_COLUMNS}, probabilities)
 
 
-def ratio_quantiles(rows: DataFrame, accuracy: int = FINE) -> DataFrame:
+def ratio_quantiles(rows: DataFrame) -> DataFrame:
     """Quantiles of duration, speed and fare per mile over known, non-negative values."""
     names = ["duration_minutes", "speed_mph", "fare_per_mile"]
     known = {name: F.when(F.col(name) >= 0, F.col(name)) for name in names}
-    return quantile_table(rows, known, RATIO_QUANTILES, accuracy)
+    return quantile_table(rows, known, RATIO_QUANTILES)
 
 
 # --- Duplicates -------------------------------------------------------------------------
@@ -216,22 +242,30 @@ def exact_duplicates(trips: DataFrame) -> DataFrame:
 def duplicate_groups(trips: DataFrame) -> DataFrame:
     """Trip keys with several records, with the sets of fares and totals seen.
 
-    Copies are first counted per key, fare and total, so the second grouping receives each
-    distinct pair once however often a key is repeated.
+    Repeated keys are found first, from counts; only their trips are reduced to distinct pairs of fare
+    and total, and gathered. A row is as long as its key has different fares; ``duplicate_fares`` has
+    them in long form.
     """
-    pairs = trips.groupBy(*TRIP_KEY, "fare_amount", "total_amount").agg(_rows().alias("copies"))
+    fares = duplicate_fares(trips)
     return (
-        pairs.groupBy(*TRIP_KEY)
+        fares.groupBy(*TRIP_KEY)
         .agg(
             F.sum("copies").alias("records"),
             F.sort_array(F.collect_set("fare_amount")).alias("fare_amounts"),
             F.sort_array(F.collect_set("total_amount")).alias("total_amounts"),
         )
-        .where("records > 1")
         .orderBy(F.desc("records"), *TRIP_KEY)
     )
 
 
+def duplicate_fares(trips: DataFrame) -> DataFrame:
+    """One row per repeated trip key, fare and total, with its number of records."""
+    repeated = _repeated_keys(trips).select(*[F.col(name).alias(f"repeated_{name}") for name in TRIP_KEY])
+    same = [F.col(name).eqNullSafe(F.col(f"repeated_{name}")) for name in TRIP_KEY]
+    pairs = trips.join(repeated, reduce(Column.__and__, same), "left_semi")
+    return pairs.groupBy(*TRIP_KEY, "fare_amount", "total_amount").agg(_rows().alias("copies"))
+
+
 def _repeated_keys(trips: DataFrame) -> DataFrame:
     return trips.groupBy(*TRIP_KEY).agg(_rows().alias("records")).where("records > 1")
 

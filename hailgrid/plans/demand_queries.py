@@ -11,7 +11,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hailgrid.fixed import MAX_ZONE_LIMIT
 
 
 def optional_dates(
@@ -28,8 +27,8 @@ def optional_dates(
 
 
 def checked_limit(limit: int) -> int:
-    if not 1 <= limit <= MAX_ZONE_LIMIT:
-        raise ValueError(f"limit must lie in 1..{MAX_ZONE_LIMIT}")
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
     return limit
 
 

@@ -1,9 +1,9 @@
 """Jobs that build the datasets: full refresh of a period, and rebuild of one month.
 
-Every step reads what the step before has written, so nothing is computed twice and a lost
-executor costs at most the current step.
+Raw trips are cleaned once; demand and business trips read the clean trips that were stored. Every later
+step reads what the step before has written, so a lost executor costs at most the current step.
 
-Below the root: hourly_demand, features, business_trips, zone_hour_daily (all by year and
+Below the root: clean_trips, hourly_demand, features, business_trips, zone_hour_daily (all by year and
 month), and star/ with dim_zone, dim_hour, dim_payment, dim_date, fact_demand, fact_trips.
 """
 
@@ -13,15 +13,11 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hailgrid.fixed import ZONE_COLUMNS
+from hailgrid.fixed import PICKUP, ZONE_COLUMNS
 from hailgrid.functions.calendar import month_span, shift_month
-from hailgrid.operators.business import business_trips
-from hailgrid.operators.demand import (
-    SLOT,
-    clean_hourly_demand,
-    complete_grid,
-    zone_hour_daily,
-)
+from hailgrid.operators.business import business_from_clean
+from hailgrid.operators.cleaning import clean_trips
+from hailgrid.operators.demand import SLOT, complete_grid, hourly_demand, zone_hour_daily
 from hailgrid.operators.history import demand_features, month_features
 from hailgrid.operators.star import (
     dim_date,
@@ -31,7 +27,13 @@ from hailgrid.operators.star import (
     fact_demand,
     fact_trips,
 )
-from hailgrid.sinks.writers import sink_months, sink_overwrite, sink_zone_hour_daily
+from hailgrid.sinks.writers import (
+    ZONE_HOUR_ORDER,
+    sink_month,
+    sink_months,
+    sink_overwrite,
+    sink_zone_hour_daily,
+)
 
 
 def app_zones(zones: DataFrame) -> DataFrame:
@@ -49,11 +51,13 @@ def refresh_period(
     spark: SparkSession, trips: DataFrame, zones: DataFrame, root: str, start: datetime, end: datetime
 ) -> None:
     """Rebuild everything for the whole months [start, end), replacing what is stored."""
-    sink_months(clean_hourly_demand(trips, start, end), f"{root}/hourly_demand", "pickup_hour", True)
+    sink_months(clean_trips(trips, start, end), f"{root}/clean_trips", PICKUP, True)
+    clean = spark.read.parquet(f"{root}/clean_trips").drop("year", "month")
+    sink_months(hourly_demand(clean), f"{root}/hourly_demand", "pickup_hour", True)
     demand = spark.read.parquet(f"{root}/hourly_demand").select(*SLOT, "demand")
     grid = complete_grid(demand, zones, str(start), str(end - timedelta(hours=1)))
     sink_months(demand_features(grid), f"{root}/features", "pickup_hour", True)
-    sink_months(business_trips(trips, start, end), f"{root}/business_trips", "pickup_date", True)
+    sink_months(business_from_clean(clean), f"{root}/business_trips", "pickup_date", True)
     features = spark.read.parquet(f"{root}/features")
     business = spark.read.parquet(f"{root}/business_trips")
     full_refresh_star(spark, zones, features, business, root)
@@ -62,11 +66,13 @@ def refresh_period(
 def rebuild_month(
     spark: SparkSession, trips: DataFrame, zones: DataFrame, root: str, year: int, month: int
 ) -> None:
-    """Rebuild one month from raw trips; safe to repeat."""
-    span = month_span(year, month)
-    sink_months(clean_hourly_demand(trips, *span), f"{root}/hourly_demand", "pickup_hour")
+    """Rebuild one month from raw trips; safe to repeat, also when no trips are left in it."""
+    own = (year, month)
+    sink_month(clean_trips(trips, *month_span(*own)), f"{root}/clean_trips", PICKUP, own)
+    clean = stored_months(spark, f"{root}/clean_trips", own).drop("year", "month")
+    sink_month(hourly_demand(clean), f"{root}/hourly_demand", "pickup_hour", own)
     rebuild_month_features(spark, zones, root, year, month)
-    sink_months(business_trips(trips, *span), f"{root}/business_trips", "pickup_date")
+    sink_month(business_from_clean(clean), f"{root}/business_trips", "pickup_date", own)
     features = stored_months(spark, f"{root}/features", (year, month))
     business = stored_months(spark, f"{root}/business_trips", (year, month))
     _write_star(spark, zones, features, business, root, (year, month))
@@ -78,7 +84,7 @@ def rebuild_month_features(
     """Recompute a month's features from stored demand of this and the previous month."""
     months = shift_month(year, month, -1), (year, month)
     demand = stored_months(spark, f"{root}/hourly_demand", *months).select(*SLOT, "demand")
-    sink_months(month_features(demand, zones, year, month), f"{root}/features", "pickup_hour")
+    sink_month(month_features(demand, zones, year, month), f"{root}/features", "pickup_hour", (year, month))
 
 
 def has_month(spark: SparkSession, root: str, year: int, month: int) -> bool:
@@ -94,12 +100,23 @@ def full_refresh_star(
 
 def _write_star(spark, zones, features, business, root: str, month: tuple[int, int] | None) -> None:
     """Write the star tables from the given slices; without a month they replace everything."""
-    daily_path, star, everything = f"{root}/zone_hour_daily", f"{root}/star", month is None
-    sink_zone_hour_daily(zone_hour_daily(features, zones), daily_path, everything)
-    daily = spark.read.parquet(daily_path) if everything else stored_months(spark, daily_path, month)
+    daily_path, star = f"{root}/zone_hour_daily", f"{root}/star"
+    rows = zone_hour_daily(features, zones)
+    if month is None:
+        sink_zone_hour_daily(rows, daily_path, True)
+        daily = spark.read.parquet(daily_path)
+    else:
+        sink_month(rows, daily_path, "date", month, ZONE_HOUR_ORDER)
+        daily = stored_months(spark, daily_path, month)
     sink_overwrite(dim_zone(zones), f"{star}/dim_zone")
     sink_overwrite(dim_hour(spark), f"{star}/dim_hour")
     sink_overwrite(dim_payment(spark), f"{star}/dim_payment")
-    sink_months(dim_date(daily), f"{star}/dim_date", "full_date", everything)
-    sink_months(fact_demand(daily), f"{star}/fact_demand", "pickup_date", everything)
-    sink_months(fact_trips(business), f"{star}/fact_trips", "pickup_date", everything)
+    for table, name, at in (
+        (dim_date(daily), "dim_date", "full_date"),
+        (fact_demand(daily), "fact_demand", "pickup_date"),
+        (fact_trips(business), "fact_trips", "pickup_date"),
+    ):
+        if month is None:
+            sink_months(table, f"{star}/{name}", at, True)
+        else:
+            sink_month(table, f"{star}/{name}", at, month)

@@ -1,58 +1,76 @@
-"""Hourly demand as a stream."""
+"""Hourly demand as a stream.
+
+Counts of zone-hours only ever grow by what new files hold, so every micro-batch adds its own counts to a
+change log, and reading the log adds them up. No hour is ever closed: a file may come at any time and in any
+order, as backfills of monthly files do. There is no state between batches besides the log.
+"""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hailgrid.fixed import PICKUP
 from hailgrid.operators.cleaning import filter_chronological
-
-LATENESS = "2 hours"
+from hailgrid.operators.demand import SLOT, hourly_demand
+from hailgrid.sinks.snapshots import read_snapshot, snapshot_replace
 
 
-def stream_hourly_demand(trips: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Pickups per zone and tumbling hour, with state dropped ``lateness`` after an hour ends.
-
-    Watermarks need zoned timestamps, so the pickup time is cast (session time zone UTC) and
-    the hour is cast back. State is one counter per open zone-hour.
-    """
-    timed = filter_chronological(trips).withColumn("event_time", F.col(PICKUP).cast("timestamp"))
-    counts = (
-        timed.withWatermark("event_time", lateness)
-        .groupBy(F.window("event_time", "1 hour").alias("slot"), "PULocationID")
-        .agg(F.count(F.lit(1)).alias("demand"))
-    )
-    return counts.select(
-        F.col("PULocationID").alias("LocationID"),
-        F.col("slot.start").cast("timestamp_ntz").alias("pickup_hour"),
-        "demand",
-    )
+def stream_hourly_demand(trips: DataFrame) -> DataFrame:
+    """The trips of a stream that count: those that do not end before they start."""
+    return filter_chronological(trips)
 
 
-def write_hourly_changes(demand: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Append the changed counts of every micro-batch to a change log below ``path``.
+def write_hourly_changes(trips: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Add the counts of every micro-batch to a change log below ``path``.
 
     A batch owns one directory and overwrites it when it is replayed, so a restart does not
     count anything twice.
     """
 
-    def write(changes: DataFrame, batch_id: int) -> None:
-        changes.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        hourly_demand(batch).write.mode("overwrite").parquet(f"{path}/batches/batch_id={batch_id}")
 
     return (
-        demand.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        trips.writeStream.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(write)
         .start()
     )
 
 
+def _summary(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
+    """The published summary, if there is one, and the last batch that it holds."""
+    try:
+        root = f"{path}/summaries"
+        last = read_snapshot(spark, root, "through").first()["batch_id"]
+        return read_snapshot(spark, root, "counts"), last
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None, -1
+
+
 def read_hourly_changes(spark: SparkSession, path: str) -> DataFrame:
-    """The latest count of every zone-hour in the change log."""
-    changes = spark.read.parquet(path)
-    return changes.groupBy("LocationID", "pickup_hour").agg(
-        F.max_by("demand", "batch_id").alias("demand")
-    )
+    """The count of every zone-hour: the summary and the batches after it, added up."""
+    summary, last = _summary(spark, path)
+    counts = _batches(spark, path).where(F.col("batch_id") > last).select(*SLOT, "demand")
+    if summary is not None:
+        counts = counts.unionByName(summary)
+    return counts.groupBy(*SLOT).agg(F.sum("demand").alias("demand"))
+
+
+def _batches(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("basePath", f"{path}/batches").parquet(f"{path}/batches/batch_id=*")
+
+
+def compact_hourly_changes(spark: SparkSession, path: str) -> None:
+    """Publish a summary of all batches so far; later reads need it and newer batches only.
+
+    Batches and summaries that it covers can be deleted afterwards, except for the newest batch.
+    """
+    newest = _batches(spark, path).agg(F.max("batch_id").alias("batch_id"))
+    if newest.first()["batch_id"] > _summary(spark, path)[1]:
+        tables = {"counts": read_hourly_changes(spark, path), "through": newest}
+        snapshot_replace(spark, f"{path}/summaries", tables)

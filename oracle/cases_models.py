@@ -277,7 +277,7 @@ def _(t):
     values = vector_to_array("features")
     plain = F.transform(F.slice(values, 1, known), lambda x: F.round(x, 6))
     marks = F.aggregate(
-        F.slice(values, known + 1, 1_000_000), F.lit(0.0), lambda total, x: total + x
+        F.slice(values, known + 1, F.size(values)), F.lit(0.0), lambda total, x: total + x
     )
     return encoded.select(
         "LocationID", "pickup_hour", plain.alias("feature_values"), marks.alias("zone_marks")

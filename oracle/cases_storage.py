@@ -16,6 +16,7 @@ from hailgrid.sinks import writers as w
 from hailgrid.sinks.snapshots import read_snapshot, snapshot_replace
 from hailgrid.sources.readers import scan_metrics_csv
 from hailgrid.streaming.hourly import (
+    compact_hourly_changes,
     read_hourly_changes,
     stream_hourly_demand,
     write_hourly_changes,
@@ -143,9 +144,15 @@ def _(t):
 )
 def _(t):
     raw, log, checkpoint = t.folder("stream-raw"), t.folder("changes"), t.folder("checkpoint")
-    t.trips.write.parquet(raw)
-    trips = t.spark.readStream.schema(t.trips.schema).parquet(raw)
-    write_hourly_changes(stream_hourly_demand(trips), log, checkpoint).awaitTermination()
+    # Newest trips first, a file for each batch, and a summary in between.
+    year = F.year("tpep_pickup_datetime")
+    for number, part in enumerate(["y >= 1997", "y between 1995 and 1996", "y < 1995 or y is null"]):
+        t.trips.withColumn("y", year).where(part).drop("y").coalesce(1).write.parquet(f"{raw}/{number}")
+        files = t.spark.readStream.schema(t.trips.schema).option("maxFilesPerTrigger", 1)
+        trips = files.parquet(f"{raw}/*")
+        write_hourly_changes(stream_hourly_demand(trips), log, checkpoint).awaitTermination()
+        if number == 1:
+            compact_hourly_changes(t.spark, log)
     return read_hourly_changes(t.spark, log)
 
 

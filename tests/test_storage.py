@@ -17,6 +17,7 @@ from hailgrid.sources.readers import (
     scan_zone_lookup,
 )
 from hailgrid.streaming.hourly import (
+    compact_hourly_changes,
     read_hourly_changes,
     stream_hourly_demand,
     write_hourly_changes,
@@ -174,11 +175,29 @@ def test_stream_equals_batch_and_restart_counts_once(spark, tmp_path):
     assert sorted(map(tuple, found)) == sorted(map(tuple, expected))
 
 
-def test_stream_drops_what_is_later_than_the_watermark(spark, tmp_path):
+def test_stream_counts_files_in_any_order(spark, tmp_path):
     raw, log, checkpoint = (str(tmp_path / n) for n in ("raw", "log", "checkpoint"))
-    files = [[trip("2024-01-10 12:00:00")], [trip("2024-01-10 11:30:00", zone=2)], [trip("2024-01-09 12:00:00", zone=3)]]
+    files = [RAW[5:], RAW[2:5], RAW[:2], [trip("2003-01-09 12:00:00", zone=3)]]
     for number, rows in enumerate(files):
         frame(spark, *rows).coalesce(1).write.parquet(f"{raw}/{number}")
         source = spark.readStream.schema(SCHEMA).parquet(f"{raw}/*")
         write_hourly_changes(stream_hourly_demand(source), log, checkpoint).awaitTermination()
-    assert {r["LocationID"] for r in read_hourly_changes(spark, log).collect()} == {1, 2}
+        if number:
+            compact_hourly_changes(spark, log)
+            compact_hourly_changes(spark, log)  # nothing new
+    expected = hourly_demand(frame(spark, *[x for rows in files for x in rows])).collect()
+    assert sorted(map(tuple, read_hourly_changes(spark, log).collect())) == sorted(map(tuple, expected))
+
+
+def test_a_month_without_trips_replaces_what_was_stored(spark, tmp_path):
+    root, zones = str(tmp_path / "out"), zones_frame(spark, 1, 2)
+    trips = frame(spark, *RAW)
+    for month in (1, 2):
+        rebuild_month(spark, trips, zones, root, 2024, month)
+    rebuild_month(spark, trips.where("false"), zones, root, 2024, 1)
+    of = lambda name, m: spark.read.parquet(f"{root}/{name}").where(f"year = 2024 AND month = {m}")
+    for name in ("hourly_demand", "business_trips", "star/fact_trips"):
+        assert of(name, 1).isEmpty() and not of(name, 2).isEmpty(), name
+    for name in ("features", "zone_hour_daily", "star/fact_demand"):  # the grid stays, without demand
+        assert of(name, 1).agg({"demand": "sum"}).first()[0] == 0, name
+        assert of(name, 2).agg({"demand": "sum"}).first()[0] > 0, name
