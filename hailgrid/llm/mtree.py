@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from hailgrid.llm.arrow import column, slices
 
-PAGE, FAN = 64, 16
+PAGE, FAN = 512, 16
 PIVOTS, TREE = 32, 8192
 #: Rows whose scores give the first bound of each query, and from which pivots are chosen.
 SAMPLE = 2048
@@ -105,8 +105,9 @@ class Tree:
         if len(rows) <= self.page:
             self.pages.append((True, rows, self.vectors[rows], distance))
             return len(self.pages) - 1
-        step = max(1, len(rows) // 256)
-        pivots = spread(self.vectors[rows[::step]], self.fan)
+        # Enough routing objects for half-full pages; they are taken at equal steps.
+        count = min(self.fan, max(2, -(-2 * len(rows) // self.page)))
+        pivots = np.unique(self.vectors[rows[:: len(rows) // count][:count]], axis=0)
         if len(pivots) > 1:
             owner, own = nearest(self.vectors[rows], pivots)
             groups = [(pivots[g], np.flatnonzero(owner == g)) for g in range(len(pivots))]
@@ -167,7 +168,11 @@ class Tree:
                 at = np.flatnonzero(reaches(above + norm * distance, ids) & (ids != own_id))
                 if not len(at):
                     continue
-                scores = vectors_of(vectors[at]) @ q
+                # Most of a page is computed as a whole, which is cheaper than picking its rows.
+                scores = (vectors_of(vectors) @ q)[at] if 2 * len(at) > len(rows) else vectors_of(vectors[at]) @ q
+                if len(at) > 4 * k:
+                    best_of = np.partition(scores, len(at) - k)[len(at) - k]
+                    at, scores = at[scores >= best_of], scores[scores >= best_of]
                 for i in np.lexsort((ids[at], -scores))[:k]:
                     entry = (int(scores[i]), -int(ids[at[i]]))
                     if entry[0] < least:
