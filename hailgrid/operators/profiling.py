@@ -29,8 +29,8 @@ from hailgrid.fixed import (
 from hailgrid.functions.calendar import moment
 from hailgrid.functions.money import UNITS, exact_mean, exact_sum, units
 
-# Parts into which a bucket that holds a wanted quantile is divided again.
-FINE_BUCKETS = 4096
+# Buckets of a value for each power of two: a bucket is 0.02 % wide.
+STEPS = 4096
 
 
 def _rows() -> Column:
@@ -154,8 +154,8 @@ def extreme_records(rows: DataFrame, column: str, threshold: float) -> DataFrame
 
 
 def _bucket(value: Column) -> Column:
-    """A whole number that rises with the value: sign and 64 steps per power of two."""
-    steps = F.floor(F.log2(1 + F.abs(value) * 1024) * 64)
+    """A whole number that rises with the value: sign and ``STEPS`` steps per power of two."""
+    steps = F.floor(F.log2(1 + F.abs(value) * 1024) * STEPS)
     return F.when(value < 0, -steps).otherwise(steps)
 
 
@@ -174,17 +174,14 @@ def quantile_table(rows: DataFrame, columns: dict[str, Column], probabilities: l
     """Exact quantiles of several columns, one row per column and probability.
 
     The quantile is the smallest value that a share of ``p`` of the known values does not exceed. Rows
-    are counted by coarse buckets of the value; those that hold a wanted rank are counted by finer
-    buckets, and of these only the distinct values are ordered. Each of the three passes shuffles
-    counts, so neither many rows nor a frequent value gather in a task. A column without values has
-    no quantiles.
+    are counted by narrow buckets of the value; of those that hold a wanted rank the distinct values are
+    counted and ordered. Both passes shuffle counts, so neither many rows nor a frequent value gather in
+    a task. A column without values has no quantiles.
     """
     values = rows.select(*[value.cast("double").alias(name) for name, value in columns.items()])
     values = values.unpivot([], list(columns), "column_name", "value")
     values = values.where(F.col("value").isNotNull() & ~F.isnan("value")).withColumn("coarse", _bucket(F.col("value")))
-    counts = values.groupBy("column_name", "coarse").agg(
-        _rows().alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
-    )
+    counts = values.groupBy("column_name", "coarse").agg(_rows().alias("n"))
     levels = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
     wanted = counts.groupBy("column_name").agg(F.sum("n").alias("known")).select("column_name", "known", levels)
     wanted = wanted.withColumn("rank", F.greatest(F.ceil(F.col("probability") * F.col("known")), F.lit(1))).drop("known")
@@ -192,17 +189,9 @@ def quantile_table(rows: DataFrame, columns: dict[str, Column], probabilities: l
 
     # At most one bucket for each column and probability.
     whole = ["column_name", "coarse"]
-    within = F.broadcast(coarse.select(*whole, "low", "high").distinct())
-    share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * FINE_BUCKETS
-    fine = F.when(F.col("high") > F.col("low"), F.least(F.floor(share), F.lit(FINE_BUCKETS - 1))).otherwise(0)
-    finer = values.join(within, whole).withColumn("fine", fine)
-    counts = finer.groupBy(*whole, "fine").agg(_rows().alias("n"))
-    ranks = _holding(counts, whole, "fine", coarse.select(*whole, "probability", "rank")).drop("n", "before")
-
-    whole = [*whole, "fine"]
-    within = F.broadcast(ranks.select(*whole).distinct())
-    counts = finer.join(within, whole).groupBy(*whole, "value").agg(_rows().alias("n"))
-    found = _holding(counts, whole, "value", ranks)
+    within = F.broadcast(coarse.select(*whole).distinct())
+    counts = values.join(within, whole).groupBy(*whole, "value").agg(_rows().alias("n"))
+    found = _holding(counts, whole, "value", coarse)
     return found.select("column_name", "probability", F.col("value").alias("quantile_value"))
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import lru_cache
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from hailgrid.fixed import (
+    BACKTEST_MONTHS,
     FUTURE_FEATURES,
     HISTORICAL_FEATURES,
     PROFILE_MODEL,
@@ -24,14 +26,6 @@ from hailgrid.sinks.writers import sink_months, sink_overwrite
 from oracle.cases_demand import rounded
 from oracle.registry import check
 
-# Smaller models for the rows-only checks; the library's defaults are the full settings.
-SMALL = {
-    "random_forest": {"numTrees": 5, "maxDepth": 4},
-    "gradient_boosted_trees": {"maxIter": 3, "maxDepth": 3},
-    "linear_regression": {"maxIter": 10},
-}
-SMALL_FOREST = {"numTrees": 5, "maxDepth": 4}
-
 # --- Profiles ---------------------------------------------------------------------------
 
 
@@ -232,12 +226,19 @@ def _(t):
     return e.model_leaderboard(e.regression_metrics(two_models(t), "model"))
 
 
-# --- Trained models (rows only) ---------------------------------------------------------
+# --- Trained models ---------------------------------------------------------------------
+
+
+@lru_cache(maxsize=2)
+def full_run(t):
+    """The forest of the full settings on the grid of the whole monthly demand, fitted once."""
+    return hist.train_historical(demand_grid_features(t))
 
 
-def small_run(t):
-    """A small forest on the complete grid of the whole monthly demand."""
-    return hist.train_historical(demand_grid_features(t), **SMALL_FOREST)
+@lru_cache(maxsize=2)
+def full_backtest(t):
+    """The backtest of all candidates with their full settings, done once."""
+    return fut.rolling_backtest(t.monthly_demand)
 
 
 def demand_grid_features(t):
@@ -286,22 +287,22 @@ def _(t):
 
 @check("train_historical_rf")
 def _(t):
-    return small_run(t).predictions
+    return full_run(t).predictions
 
 
 @check("historical_model_metrics")
 def _(t):
-    return f.historical_model_metrics(small_run(t).metrics)
+    return f.historical_model_metrics(full_run(t).metrics)
 
 
 @check("feature_importance")
 def _(t):
-    return small_run(t).importance
+    return full_run(t).importance
 
 
 @check("feature_importance_ranked")
 def _(t):
-    return f.feature_importance_ranked(small_run(t).importance)
+    return f.feature_importance_ranked(full_run(t).importance)
 
 
 @check("candidate_models")
@@ -310,7 +311,7 @@ def _(t):
         "demand", F.col("demand").cast("double")
     )
     scored = None
-    for name, candidate in fut.candidate_models(SMALL).items():
+    for name, candidate in fut.candidate_models().items():
         predicted = e.clipped(candidate.fit(rows).transform(rows)).select(
             F.lit(name).alias("model"), "demand", "prediction"
         )
@@ -320,17 +321,55 @@ def _(t):
 
 @check("rolling_backtest")
 def _(t):
-    return fut.rolling_backtest(t.monthly_demand, SMALL).detail
+    return full_backtest(t).detail
+
+
+# What the trained candidates share: the holdout months, and how many rows they train and test on.
+@check(
+    "backtest_months",
+    f"""WITH months AS (SELECT DISTINCT calendar_month FROM known_history ORDER BY 1 DESC LIMIT {BACKTEST_MONTHS})
+    SELECT model, calendar_month AS test_month,
+    (SELECT COUNT(*) FROM known_history k WHERE k.calendar_month < months.calendar_month) AS train_rows,
+    (SELECT COUNT(*) FROM known_history k WHERE k.calendar_month = months.calendar_month) AS test_rows
+    FROM months, (SELECT unnest(['{PROFILE_MODEL}', 'linear_regression', 'random_forest',
+    'gradient_boosted_trees']) AS model)""",
+)
+def _(t):
+    return full_backtest(t).detail.select("model", "test_month", "train_rows", "test_rows")
+
+
+@check(
+    "backtest_baseline",
+    f"""SELECT calendar_month AS test_month, ROUND({MAE}, 5) AS mae, ROUND({RMSE}, 5) AS rmse
+    FROM (SELECT calendar_month, demand, greatest(zone_dow_hour_mean, 0) AS prediction FROM known_exact)
+    WHERE calendar_month IN (SELECT DISTINCT calendar_month FROM known_exact ORDER BY 1 DESC
+    LIMIT {BACKTEST_MONTHS}) GROUP BY 1""",
+)
+def _(t):
+    detail = full_backtest(t).detail.where(F.col("model") == PROFILE_MODEL)
+    return rounded_errors(detail).select("test_month", "mae", "rmse")
+
+
+@check(
+    "feature_importance_sum",
+    f"SELECT {len(HISTORICAL_FEATURES)}::BIGINT AS features, 1.0::DOUBLE AS total, true AS in_range",
+)
+def _(t):
+    return full_run(t).importance.agg(
+        F.count_distinct("feature").alias("features"),
+        F.round(F.sum("importance"), 6).alias("total"),
+        F.every(F.col("importance").between(0, 1)).alias("in_range"),
+    )
 
 
 @check("future_model_metrics")
 def _(t):
-    return f.future_model_metrics(fut.rolling_backtest(t.monthly_demand, SMALL).summary)
+    return f.future_model_metrics(full_backtest(t).summary)
 
 
 @check("future_profiles_trained")
 def _(t):
-    return fut.future_profiles(t.monthly_demand, "random_forest", SMALL)
+    return fut.future_profiles(t.monthly_demand, "random_forest")
 
 
 # --- Forecasts --------------------------------------------------------------------------

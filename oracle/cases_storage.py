@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.ml.regression import RandomForestRegressionModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hailgrid.fixed import PROFILE_MODEL
+from hailgrid.fixed import FACT_MEASURES, PROFILE_MODEL
 from hailgrid.models import evaluation as e
 from hailgrid.models import historical as hist
 from hailgrid.models.future import forecast_metadata, future_profiles
@@ -22,7 +24,7 @@ from hailgrid.streaming.hourly import (
     write_hourly_changes,
 )
 from hailgrid.streaming.months import stream_month_increment
-from oracle.cases_models import BOTH, MAE, RMSE, rounded_errors, small_run, two_models
+from oracle.cases_models import BOTH, MAE, RMSE, full_run, rounded_errors, two_models
 from oracle.cases_trips import TRIP_SUMMARY, trip_summary
 from oracle.registry import check
 
@@ -87,7 +89,7 @@ def _(t):
 @check("sink_model")
 def _(t):
     path = t.folder("model")
-    w.sink_model(small_run(t).model, path)
+    w.sink_model(full_run(t).model, path)
     return hist.feature_importance(RandomForestRegressionModel.load(path), t.spark)
 
 
@@ -111,30 +113,50 @@ def _(t):
 @check("historical_serving_snapshot")
 def _(t):
     root = t.folder("serving")
-    run = hist.store_run(small_run(t), t.folder("run"))
+    run = hist.store_run(full_run(t), t.folder("run"))
     snapshot_replace(t.spark, root, hist.historical_serving_tables(run, t.zones))
     return read_snapshot(t.spark, root, "historical_model_prediction").drop("generated_at")
 
 
-STAR_COUNTS = """SELECT 'dim_zone' AS name, COUNT(*) AS row_count FROM dim_zone
-    UNION ALL SELECT 'dim_date', COUNT(*) FROM dim_date
-    UNION ALL SELECT 'dim_hour', COUNT(*) FROM dim_hour
-    UNION ALL SELECT 'dim_payment', COUNT(*) FROM dim_payment
-    UNION ALL SELECT 'fact_demand', COUNT(*) FROM fact_demand
-    UNION ALL SELECT 'fact_trips', COUNT(*) FROM fact_trips"""
-STAR_TABLES = ["dim_zone", "dim_date", "dim_hour", "dim_payment", "fact_demand", "fact_trips"]
+# Every column of every star table, in one number each: sums, days since 1970, lengths of texts.
+STAR_TABLES = {
+    "dim_zone": {"location_id": "n", "borough": "t", "zone": "t", "service_zone": "t"},
+    "dim_date": {"full_date": "d", "year": "n", "month": "n", "month_name": "t", "day": "n", "weekday_number": "n", "weekday": "t", "is_weekend": "b"},
+    "dim_hour": {"hour": "n", "day_part": "t"},
+    "dim_payment": {"payment_type": "n", "payment_method": "t"},
+    "fact_demand": {"location_id": "n", "pickup_date": "d", "hour": "n", "demand": "n"},
+    "fact_trips": {"location_id": "n", "pickup_date": "d", "hour": "n", "payment_type": "n", "trip_count": "n", **{name: "n" for name, _ in FACT_MEASURES}},
+}
+IN_SQL = {"n": "{0}", "d": "date_diff('day', DATE '1970-01-01', {0})", "t": "length({0})", "b": "CAST({0} AS INT)"}
+STAR_SUMS = " UNION ALL ".join(
+    f"SELECT '{name}' AS name, '{column}' AS column_name, COUNT(*) AS row_count, "
+    f"ROUND(CAST(SUM({IN_SQL[kind].format(column)}) AS DOUBLE), 2) AS total FROM {name}"
+    for name, columns in STAR_TABLES.items()
+    for column, kind in columns.items()
+)
+
+
+def sums(table, name: str, columns: dict[str, str]):
+    """One row per column: the number of rows and the sum of the column."""
+    as_number = {
+        "n": F.col,
+        "d": lambda c: F.datediff(c, F.lit(date(1970, 1, 1))),
+        "t": F.length,
+        "b": lambda c: F.col(c).cast("int"),
+    }
+    totals = [F.round(F.sum(as_number[kind](c)).cast("double"), 2).alias(c) for c, kind in columns.items()]
+    wide = table.agg(F.count(F.lit(1)).alias("row_count"), *totals)
+    return wide.unpivot(["row_count"], list(columns), "column_name", "total").select(
+        F.lit(name).alias("name"), "column_name", "row_count", "total"
+    )
 
 
-@check("full_refresh_star", STAR_COUNTS)
+@check("full_refresh_star", STAR_SUMS)
 def _(t):
     root = t.folder("refresh")
     refresh.refresh_period(t.spark, t.trips, t.zones, root, datetime(2024, 1, 1), datetime(2024, 2, 1))
-    counts = None
-    for name in STAR_TABLES:
-        stored = t.spark.read.parquet(f"{root}/star/{name}")
-        one = stored.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("row_count"))
-        counts = one if counts is None else counts.unionAll(one)
-    return counts
+    tables = [sums(t.spark.read.parquet(f"{root}/star/{n}"), n, c) for n, c in STAR_TABLES.items()]
+    return reduce(DataFrame.unionAll, tables)
 
 
 @check(
@@ -165,3 +187,29 @@ def _(t):
     ).awaitTermination()
     return t.spark.read.parquet(f"{root}/hourly_demand").drop("year", "month")
 
+
+MONTH_TABLES = {
+    "hourly_demand": ("hourly", {"LocationID": "n", "demand": "n"}),
+    "features": ("features", {"LocationID": "n", "demand": "n", "lag_1h": "n", "lag_24h": "n"}),
+    "business_trips": ("business", {"PULocationID": "n", "pickup_date": "d", "trip_distance": "n", "total_amount": "n"}),
+    "zone_hour_daily": ("daily", {"LocationID": "n", "date": "d", "hour": "n", "weekday": "t", "demand": "n"}),
+    "star/fact_demand": ("fact_demand", STAR_TABLES["fact_demand"]),
+    "star/fact_trips": ("fact_trips", STAR_TABLES["fact_trips"]),
+}
+MONTH_SUMS = " UNION ALL ".join(
+    f"SELECT '{name}' AS name, '{column}' AS column_name, COUNT(*) AS row_count, ROUND(CAST(SUM("
+    + IN_SQL[kind].format(f'"{column}"') + f") AS DOUBLE), 2) AS total FROM {source}"
+    for name, (source, columns) in MONTH_TABLES.items()
+    for column, kind in columns.items()
+)
+
+
+@check("stream_month_datasets", MONTH_SUMS)
+def _(t):
+    raw, root, checkpoint = t.folder("month-raw"), t.folder("months"), t.folder("checkpoint")
+    t.trips.write.parquet(raw)
+    stream_month_increment(
+        t.spark, raw, t.trips.schema, t.zones, root, checkpoint, files_per_batch=1000
+    ).awaitTermination()
+    tables = [sums(t.spark.read.parquet(f"{root}/{n}"), n, c) for n, (_, c) in MONTH_TABLES.items()]
+    return reduce(DataFrame.unionAll, tables)
