@@ -55,9 +55,20 @@ def zoneless_hour(column: str) -> Column:
     return F.to_date(at).cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(at))
 
 
-def seconds_between(first: str, last: str) -> Column:
-    """Whole seconds from one zone-less time to another, whatever the session's time zone."""
-    return F.timestamp_diff("SECOND", F.col(first).cast("timestamp_ntz"), F.col(last).cast("timestamp_ntz"))
+def _since_midnight(column: str, exact: bool) -> Column:
+    at = F.col(column)
+    second = F.date_part(F.lit("SECOND"), at) if exact else F.second(at)
+    return F.hour(at) * 3600 + F.minute(at) * 60 + second
+
+
+def seconds_between(first: str, last: str, exact: bool = False) -> Column:
+    """Seconds from one zone-less time to another, whatever the session's time zone.
+
+    Fractions of a second are left out of both times, unless the result is to be ``exact``.
+    ``timestamp_diff`` and ``unix_timestamp`` would go through the time zone of the session.
+    """
+    days = F.datediff(F.to_date(last), F.to_date(first)).cast("bigint")
+    return days * 86_400 + (_since_midnight(last, exact) - _since_midnight(first, exact))
 
 
 def iso_weekday(column: str) -> Column:

@@ -26,7 +26,7 @@ from hailgrid.fixed import (
     TOTAL_COMPONENTS,
     TRIP_KEY,
 )
-from hailgrid.functions.calendar import moment
+from hailgrid.functions.calendar import moment, seconds_between
 from hailgrid.functions.money import UNITS, exact_mean, exact_sum, units
 
 # Buckets of a value for each power of two: a bucket is 0.02 % wide.
@@ -92,7 +92,7 @@ def out_of_window_counts(trips: DataFrame, start, end) -> DataFrame:
 
 def with_whole_minutes(trips: DataFrame) -> DataFrame:
     """Duration in whole minutes, cut toward zero."""
-    minutes = F.timestamp_diff("MINUTE", F.col(PICKUP), F.col(DROPOFF))
+    minutes = (seconds_between(PICKUP, DROPOFF, exact=True) / 60).cast("bigint")
     return trips.withColumn("trip_duration_minutes", minutes)
 
 
