@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hailgrid.llm.arrow import column, slices
+from hailgrid.llm.sampling import sampled_keys
 
 PAGE, FAN = 512, 16
 PIVOTS, TREE = 32, 8192
@@ -213,7 +214,7 @@ def top(
         F.col(key).cast("long").alias("vec_id"), scaled(vector, scale).alias("x"), is_query.alias("asks"),
         F.xxhash64(key, vector).alias("mark"),
     ).where("vec_id is not null and x is not null and size(x) > 0")
-    picked = [r[0] for r in held.select("mark").orderBy(F.xxhash64("mark"), "mark").limit(SAMPLE).collect()]
+    picked = sampled_keys(held, "mark", SAMPLE)
     sample = held.where(F.col("mark").isin(picked)).select("vec_id", "x").limit(2 * SAMPLE).collect()
     by_size: dict[int, tuple] = {}
     for size in {len(r["x"]) for r in sample}:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from hailgrid.llm.arrow import batch_of, column, slices
 from hailgrid.llm.files import unique, write_file
+from hailgrid.llm.sampling import sampled_keys
 
 # Fixed values of the two formats.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -58,11 +59,7 @@ RECORDS = (
 
 def train(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> bytes:
     """A dictionary from a bounded sample of pages; empty if there are too few to train on."""
-    place = F.xxhash64(page_id)
-    picked = [
-        x[0] for x in pages.select(page_id).where(F.col(page_id).isNotNull())
-        .orderBy(place, page_id).limit(SAMPLE_PAGES).collect()
-    ]
+    picked = sampled_keys(pages, page_id, SAMPLE_PAGES)
     sample = pages.where(F.col(page_id).isin(picked)).select(F.substring(html, 1, SAMPLE_CHARS))
     texts = [x[0].encode() for x in sample.limit(SAMPLE_PAGES).collect() if x[0]]
     try:
