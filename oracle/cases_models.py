@@ -328,26 +328,26 @@ def _(t):
 @check(
     "backtest_months",
     f"""WITH months AS (SELECT DISTINCT calendar_month FROM known_history ORDER BY 1 DESC LIMIT {BACKTEST_MONTHS})
-    SELECT model, calendar_month AS test_month,
+    SELECT model, CAST(calendar_month AS VARCHAR) AS test_month,
     (SELECT COUNT(*) FROM known_history k WHERE k.calendar_month < months.calendar_month) AS train_rows,
     (SELECT COUNT(*) FROM known_history k WHERE k.calendar_month = months.calendar_month) AS test_rows
     FROM months, (SELECT unnest(['{PROFILE_MODEL}', 'linear_regression', 'random_forest',
     'gradient_boosted_trees']) AS model)""",
 )
 def _(t):
-    return full_backtest(t).detail.select("model", "test_month", "train_rows", "test_rows")
+    return full_backtest(t).detail.select("model", F.col("test_month").cast("string"), "train_rows", "test_rows")
 
 
 @check(
     "backtest_baseline",
-    f"""SELECT calendar_month AS test_month, ROUND({MAE}, 5) AS mae, ROUND({RMSE}, 5) AS rmse
+    f"""SELECT CAST(calendar_month AS VARCHAR) AS test_month, ROUND({MAE}, 5) AS mae, ROUND({RMSE}, 5) AS rmse
     FROM (SELECT calendar_month, demand, greatest(zone_dow_hour_mean, 0) AS prediction FROM known_exact)
     WHERE calendar_month IN (SELECT DISTINCT calendar_month FROM known_exact ORDER BY 1 DESC
     LIMIT {BACKTEST_MONTHS}) GROUP BY 1""",
 )
 def _(t):
     detail = full_backtest(t).detail.where(F.col("model") == PROFILE_MODEL)
-    return rounded_errors(detail).select("test_month", "mae", "rmse")
+    return rounded_errors(detail).select(F.col("test_month").cast("string"), "mae", "rmse")
 
 
 @check(
