@@ -112,8 +112,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_closed_syncmers")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, and their likeness to both."""
-    folder = new_folder(spark, "syncmers")
-    return syncmers.digests(syncmers.compare_neighbours(table(spark, sf_dir, "documents"), folder))
+    return syncmers.digests(syncmers.compare_neighbours(table(spark, sf_dir, "documents")))
 
 
 @query("op3_fixed_block_anchors")

@@ -21,7 +21,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,73 +101,83 @@ def anchor_rows(rows: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return given.mapInArrow(work, "key long, position long, hash long").withColumnRenamed("key", key)
 
 
-# What the pass over ordered documents writes: finished rows, and the first and the last document of
-# each task, whose neighbours are in other tasks.
 _ROWS = (
-    "kind string, task int, doc_id long, n_chars long, edited_sha256 string, fingerprint binary, "
-    "edited_fingerprint binary, near_edited double, near_next double, text string"
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
+    "near_edited double, near_next double"
 )
 _SCHEMA = pa.schema([
-    ("kind", pa.string()), ("task", pa.int32()), ("doc_id", pa.int64()), ("n_chars", pa.int64()),
-    ("edited_sha256", pa.string()), ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()),
-    ("near_edited", pa.float64()), ("near_next", pa.float64()), ("text", pa.string()),
+    ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.binary()),
+    ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
 ])
-RESULT = [f.name for f in _SCHEMA][2:9]
+_ENDS = "task int, first_text string, last_key long, last_text string"
 
 
-def _compared(task: int, key: int | None, text: str, print_: bytes, next_text: str, next_print: bytes) -> list:
+def _compared(key: int | None, text: str, print_: bytes, next_text: str, next_print: bytes) -> list:
     changed = edited(text, next_text)
     changed_print = print_ if changed == text else fingerprint(changed)
     return [
-        "row", task, key, len(text), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(),
-        print_, changed_print, likeness(print_, changed_print), likeness(print_, next_print), None,
+        key, len(text), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(),
+        print_, changed_print, likeness(print_, changed_print), likeness(print_, next_print),
     ]
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    task, last = TaskContext.get().partitionId(), None
-    end = lambda kind, key, text: [kind, task, key, *[None] * 6, text]
+    """Every document of a task but the last, compared with the one after it."""
+    last = None
     for batch in slices(batches):
         out = []
         for key, value in zip(column(batch, "key"), column(batch, "text")):
             text = value or ""
             print_ = fingerprint(text)
-            out.append(_compared(task, *last, text, print_) if last else end("first", key, text))
+            if last:
+                out.append(_compared(*last, text, print_))
             last = (key, text, print_)
-        yield batch_of(_SCHEMA, [list(x) for x in zip(*out)])
-    if last:
-        yield batch_of(_SCHEMA, [[x] for x in end("last", *last[:2])])
+        if out:
+            yield batch_of(_SCHEMA, [list(x) for x in zip(*out)])
+
+
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first and the last document of a task, whose neighbours are in other tasks."""
+    first = last = None
+    for batch in batches:
+        if batch.num_rows:
+            first = batch.slice(0, 1) if first is None else first
+            last = batch.slice(batch.num_rows - 1)
+    if first is not None:
+        names = ["task", "first_text", "last_key", "last_text"]
+        (task,) = column(last, "task")
+        (text,), (key,), (last_text,) = column(first, "text"), column(last, "key"), column(last, "text")
+        arrays = [pa.array([x], t) for x, t in ((task, pa.int32()), (text, pa.string()), (key, pa.int64()), (last_text, pa.string()))]
+        yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
 def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        for key, text, following in zip(*(column(batch, x) for x in ("key", "text", "following"))):
-            row = _compared(0, key, text, fingerprint(text), following, fingerprint(following))
-            yield batch_of(_SCHEMA, [[x] for x in row])
+        rows = []
+        for key, text, following in zip(*(column(batch, x) for x in ("last_key", "last_text", "following"))):
+            text, following = text or "", following or ""
+            rows.append(_compared(key, text, fingerprint(text), following, fingerprint(following)))
+        yield batch_of(_SCHEMA, [list(x) for x in zip(*rows)])
 
 
-def compare_neighbours(rows: DataFrame, folder: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def compare_neighbours(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of texts and of their edited forms, compared along the order of the key.
 
-    Texts are shuffled once, into ranges of the key. Each task compares the documents it holds; its first
-    and last one are stored with their texts, and the last is compared with the first of the next task.
+    Texts are shuffled once, into ranges of the key, a fixed number of them, so that a range is the same
+    task wherever the shuffle is read. A task compares the documents it holds; of each range the last
+    document is compared with the first one of the next range, for which the ends of ranges are joined.
     """
-    ordered = rows.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    ordered = ordered.repartitionByRange("key").sortWithinPartitions("key", F.xxhash64("text"))
-    ordered.mapInArrow(_neighbours, _ROWS).write.mode("overwrite").parquet(folder)
-    stored = rows.sparkSession.read.schema(_ROWS).parquet(folder)
-    first = stored.where("kind = 'first'").select("task", F.col("text").alias("following"))
-    tasks = Window.orderBy("task")  # one small row per task
-    after = F.coalesce(
-        F.lead("task").over(tasks),
-        F.min("task").over(tasks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-    )
-    follows = first.select("task", after.alias("next_task"))
-    last = stored.where("kind = 'last'").select("task", F.col("doc_id").alias("key"), "text")
-    first = first.withColumnRenamed("task", "next_task")
-    pairs = last.join(follows, "task").join(first, "next_task").select("key", "text", "following")
-    borders = pairs.mapInArrow(_borders, _ROWS)
-    return stored.where("kind = 'row'").select(*RESULT).unionByName(borders.select(*RESULT))
+    tasks = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ordered = rows.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    ordered = ordered.repartitionByRange(tasks, "key").sortWithinPartitions("key", F.xxhash64("text"))
+    ends = ordered.withColumn("task", F.spark_partition_id()).mapInArrow(_ends, _ENDS)
+    order = Window.orderBy("task")  # one number per task
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    follows = ends.select("task", F.coalesce(F.lead("task").over(order), F.min("task").over(whole)).alias("next_task"))
+    first = ends.select(F.col("task").alias("next_task"), F.col("first_text").alias("following"))
+    pairs = ends.drop("first_text").join(follows, "task").join(first, "next_task")
+    borders = pairs.coalesce(tasks // 64 + 1).mapInArrow(_borders, _ROWS)
+    return ordered.mapInArrow(_neighbours, _ROWS).unionByName(borders).withColumnRenamed("doc_id", key)
 
 
 def digests(compared: DataFrame) -> DataFrame:
