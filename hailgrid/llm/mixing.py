@@ -129,7 +129,9 @@ def choose(
         return some.withColumn("__bucket", F.substring("__order", 1, DIGITS))
 
     bucket = [*own, "__bucket"]
-    sums = placed(light).where("__rest > 0").groupBy(*bucket, "__rest").agg(F.sum("__tokens").alias("__sum"))
+    # Dealt out by bucket, or the sums would be made where the join left the rows: a leaf in one task.
+    dealt = placed(light).where("__rest > 0").repartition(*bucket)
+    sums = dealt.groupBy(*bucket, "__rest").agg(F.sum("__tokens").alias("__sum"))
     running = Window.partitionBy(*own).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("__before", F.coalesce(F.sum("__sum").over(running), F.lit(0)))
     sums = sums.where("__before <= __rest").select(
