@@ -32,10 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hailgrid.llm.arrow import trimmed
 from hailgrid.llm.packed import find, pack, pack_sorted, smallest_by, unpack, unpack_sorted
 from hailgrid.llm.rolling import mixed, runs, words
 
 WINDOW, BLOCK = 13, 7
+#: Chunks for each shuffle partition; a task holds the words of one chunk.
+CHUNKS = 2
 NONE = np.iinfo(np.int64).max
 
 _MESSAGE = pa.schema([
@@ -118,6 +121,7 @@ def _answer(narrow: bool, shared_only: bool):
     """The work of a bucket: the smallest document of each block key, told to all chunks that have it."""
     kind = "uint32" if narrow else "uint64"
 
+    @trimmed
     def work(table: pa.Table) -> pa.Table:
         chunks, bucket = table.column("chunk").to_pylist(), table.column("bucket")[0].as_py()
         blocks = [unpack_sorted(x, kind) for x in table.column("blocks").to_pylist()]
@@ -191,9 +195,10 @@ def repeats(
     count = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = rows.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     # The mark of a row tells it from others, also from a row with the same id and another text.
-    chunk, mark = F.pmod(F.xxhash64("doc_id"), F.lit(count)).cast("int"), F.xxhash64("doc_id", "text")
+    chunk, mark = F.pmod(F.xxhash64("doc_id"), F.lit(CHUNKS * count)).cast("int"), F.xxhash64("doc_id", "text")
     chunked = docs.withColumns({"chunk": chunk, "mark": mark})
 
+    @trimmed
     def ask_blocks(table: pa.Table) -> pa.Table:
         number = table.column("chunk")[0].as_py()
         chunk = _Chunk(table, window, block)
@@ -203,6 +208,7 @@ def repeats(
         low = lambda k: k & np.uint64(0xFFFFFFFF)
         return _send(number, count, True, low(blocks), smallest, bucket(blocks), low(probes), bucket(probes))
 
+    @trimmed
     def ask_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.Table.from_pylist([], schema=_MESSAGE)
@@ -242,6 +248,7 @@ def repeats(
         known, _ = find(refs, every)
         return _send(number, count, False, refs, first, spread[known], every[~known], spread[~known])
 
+    @trimmed
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.Table.from_pylist([], schema=_SPANS if spans else _RESULT)

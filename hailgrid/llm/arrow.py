@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import inspect
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,3 +31,34 @@ def column(batch: pa.RecordBatch | pa.Table, name: str) -> list:
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     arrays = [pa.array(values, field.type) for values, field in zip(columns, schema, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def trim() -> None:
+    """Give free memory back to the system. Python workers live on, and later tasks share their executor."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def trimmed(work):
+    """A function of a task, after which memory is given back."""
+    if inspect.isgeneratorfunction(work):
+
+        @functools.wraps(work)
+        def run(*args):
+            try:
+                yield from work(*args)
+            finally:
+                trim()
+    else:
+
+        @functools.wraps(work)
+        def run(*args):
+            try:
+                return work(*args)
+            finally:
+                trim()
+
+    run.__signature__ = inspect.signature(work)  # Spark counts the parameters
+    return run

@@ -28,16 +28,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hailgrid.llm.arrow import column, slices
+from hailgrid.llm.arrow import column, slices, trimmed
 
 # Fixed value: the splitting rule of byte-level BPE files that say "use_regex".
 PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 #: Pieces whose ids a Python worker remembers; a full memory starts again.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Border decisions that a Python worker remembers.
-BORDERS = 1_000_000
+BORDERS = 200_000
 #: Ids decoded at once.
 DECODED_AT_ONCE = 1 << 20
 
@@ -206,6 +206,7 @@ def _added(rows: DataFrame, source: str, path: str, names: tuple[str, ...], make
     for name in names:
         schema = schema.add(name, types[name])
 
+    @trimmed
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         made_types = [pa.binary() if types[n] == "binary" else pa.string() for n in names]

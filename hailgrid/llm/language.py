@@ -35,7 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hailgrid.llm.arrow import column, slices
+from hailgrid.llm.arrow import column, slices, trimmed
+from hailgrid.llm.sampling import sampled_keys
 
 SAMPLE_ROWS = 4000
 CODES = 1 << 16
@@ -102,8 +103,7 @@ class Model:
 def train(rows: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> Model | None:
     """A model from a bounded sample of labelled rows; None for an empty table."""
     known = F.col(label).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull()
-    picked = rows.where(known).select(key).orderBy(F.xxhash64(key), key).limit(SAMPLE_ROWS)
-    ids = [x[0] for x in picked.collect()]
+    ids = sampled_keys(rows.where(known), key, SAMPLE_ROWS)
     if not ids:
         if rows.limit(1).count():
             raise ValueError("no labelled rows to train on")
@@ -112,6 +112,7 @@ def train(rows: DataFrame, key: str = "doc_id", text: str = "text", label: str =
         F.col(key).cast("string").alias("key"), F.col(text).alias("text"), F.lower(label).alias("label")
     )
 
+    @trimmed
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for batch in batches:
@@ -170,6 +171,7 @@ def identify(
     plain = [c for c in given.columns if c != "text"]
     schema = given.select(*plain).schema.add("n_trigrams", "long").add("above", "double").add("likelihood", T.ArrayType(T.DoubleType()))
 
+    @trimmed
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.unpack(*packed.value)
         for batch in slices(batches):

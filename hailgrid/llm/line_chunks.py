@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hailgrid.llm.arrow import column, slices
+from hailgrid.llm.arrow import column, slices, trimmed
 from hailgrid.llm.rolling import mixed, runs
 
 WINDOW, DIVISOR, LEAST, MOST = 2, 3, 2, 64
@@ -75,6 +75,7 @@ def _hash(chunk: str) -> int:
     return xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+@trimmed
 def _multi_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         out = []
@@ -85,6 +86,7 @@ def _multi_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, schema=_FOUND_SCHEMA)
 
 
+@trimmed
 def _flagged_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         out = []
@@ -96,6 +98,7 @@ def _flagged_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _cut(names: list[str], text: str):
+    @trimmed
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts, lines, removed = [], [], []
