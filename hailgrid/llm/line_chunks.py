@@ -7,6 +7,13 @@ every text. A chunk of two lines or more that occurs before, in a smaller docume
 same one, is removed; its first occurrence stays. Chunks with equal hashes are compared byte by byte with
 the first occurrence before anything goes.
 
+Borders by a rolling hash miss what is short: the first and the last chunk of a shared passage mix in foreign
+lines. With ``whole`` every window of two lines is looked up over all documents, and borders are where a run of
+repeated windows begins or ends: a line goes if it and a neighbour are a pair of lines that occurs before, in a
+smaller document or further up in the same one without a line in common. So every run of two lines or more that
+occurs before goes in full, and the first occurrence of every line stays. ``op9_line_chunks`` and the pipeline
+ask for that.
+
 Only hashes are grouped over all documents. Texts are dealt out once by id: flagged chunks are stored with
 their text, joined with the first chunk of their hash and compared, and what is equal is cut out. A chunk in
 a third of all documents is counted before the shuffle; in the comparison its rows are a skewed join side,
@@ -43,12 +50,16 @@ _TEXTS_SCHEMA = pa.schema([
 ])
 
 
+def _line_hash(line: str) -> int:
+    return xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass"))
+
+
 def borders(lines: list[str]) -> list[int]:
     """Where chunks end, the end of the text included."""
     n = len(lines)
     if n <= LEAST:
         return [n]
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines), np.uint64, n)
+    hashes = np.fromiter((_line_hash(x) for x in lines), np.uint64, n)
     rolled = mixed(runs(hashes, WINDOW))  # ends at line WINDOW - 1 and on
     cuts = (np.flatnonzero(rolled % np.uint64(DIVISOR) == 0) + WINDOW).tolist()
     ends, start = [], 0
@@ -72,7 +83,7 @@ def chunks(text: str) -> list[str]:
 
 
 def _hash(chunk: str) -> int:
-    return xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass")) - (1 << 63)
+    return _line_hash(chunk) - (1 << 63)
 
 
 @trimmed
@@ -87,17 +98,43 @@ def _multi_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @trimmed
-def _flagged_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of all windows of two lines."""
     for batch in slices(batches):
-        out = []
-        for mark, text, flags in zip(*(column(batch, x) for x in ("mark", "text", "flags"))):
-            pieces = chunks(text)
-            out += [(mark, x["place"], x["hash"], pieces[x["place"]], x["is_first"]) for x in flags]
-        arrays = [pa.array([x[i] for x in out], f.type) for i, f in enumerate(_TEXTS_SCHEMA)]
-        yield pa.RecordBatch.from_arrays(arrays, schema=_TEXTS_SCHEMA)
+        ids, marks, places, hashes = [], [], [], []
+        for one, mark, text in zip(*(column(batch, x) for x in ("doc_id", "mark", "text"))):
+            if text is not None and "\n" in text:
+                lines = text.split("\n")
+                each = np.fromiter((_line_hash(x) for x in lines), np.uint64, len(lines))
+                n = len(lines) - 1
+                ids += [one] * n
+                marks += [mark] * n
+                places.append(np.arange(n, dtype=np.int32))
+                hashes.append(mixed(runs(each, 2)).view(np.int64))
+        if ids:
+            made = [ids, marks, np.concatenate(places), np.concatenate(hashes)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(made, _FOUND_SCHEMA)], schema=_FOUND_SCHEMA)
+
+
+def _flagged_texts(whole: bool):
+    @trimmed
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out = []
+            for mark, text, flags in zip(*(column(batch, x) for x in ("mark", "text", "flags"))):
+                lines = text.split("\n") if whole else None
+                pieces = None if whole else chunks(text)
+                for x in flags:
+                    at = x["place"]
+                    piece = "\n".join(lines[at : at + 2]) if whole else pieces[at]
+                    out.append((mark, at, x["hash"], piece, x["is_first"]))
+            arrays = [pa.array([x[i] for x in out], f.type) for i, f in enumerate(_TEXTS_SCHEMA)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=_TEXTS_SCHEMA)
+
+    return work
 
 
-def _cut(names: list[str], text: str):
+def _cut(names: list[str], text: str, whole: bool):
     @trimmed
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -105,8 +142,8 @@ def _cut(names: list[str], text: str):
             for value, gone in zip(column(batch, text), column(batch, "__gone")):
                 lines.append(0 if value is None else value.count("\n") + 1)
                 if gone:
-                    kept, dropped, gone = [], 0, set(gone)
-                    for place, piece in enumerate(chunks(value)):
+                    kept, dropped, gone = [], 0, set(gone) | {x + 1 for x in gone} if whole else set(gone)
+                    for place, piece in enumerate(value.split("\n") if whole else chunks(value)):
                         if place in gone:
                             dropped += piece.count("\n") + 1
                         else:
@@ -123,8 +160,11 @@ def _cut(names: list[str], text: str):
     return work
 
 
-def remove(rows: DataFrame, folder: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``rows`` with repeated chunks cut out of ``text``, and how many lines there were and went."""
+def remove(rows: DataFrame, folder: str, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
+    """``rows`` with repeated chunks cut out of ``text``, and how many lines there were and went.
+
+    ``whole``: borders are those of the repeated runs themselves, so none of them stays in part.
+    """
     spark = rows.sparkSession
     kept = [c for c in rows.columns if c.lower() not in MADE]
     rows = rows.select(*kept).withColumn(text, F.col(text).cast("string"))
@@ -132,17 +172,21 @@ def remove(rows: DataFrame, folder: str, key: str = "doc_id", text: str = "text"
     marked = rows.withColumn("__mark", mark)
     light = marked.select(F.col(key).cast("long").alias("doc_id"), F.col("__mark").alias("mark"), F.col(text).alias("text"))
 
-    found = light.mapInArrow(_multi_line, _FOUND)
+    found = light.mapInArrow(_pairs if whole else _multi_line, _FOUND)
     order = F.struct("doc_id", "mark", "place")
     repeated = found.groupBy("hash").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    flags = found.join(repeated, "hash").select(
+    both = found.join(repeated, "hash")
+    if whole:  # a pair that shares a line with the first one is no repeat of it
+        own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
+        both = both.where(~(own & (F.col("place") == F.col("first.place") + 1)))
+    flags = both.select(
         "mark", F.struct("place", "hash", order.eqNullSafe(F.col("first")).alias("is_first")).alias("flag")
     )
-    # A document has as many flags as repeated chunks.
+    # A document has as many flags as repeated chunks or pairs.
     flags = flags.groupBy("mark").agg(F.collect_set("flag").alias("flags")).withColumnRenamed("mark", "__mark")
     # The same exchange of whole rows serves this join and the last one.
     flagged = marked.join(flags, "__mark").select(F.col("__mark").alias("mark"), F.col(text).alias("text"), "flags")
-    flagged.mapInArrow(_flagged_texts, _TEXTS).write.mode("overwrite").parquet(folder)
+    flagged.mapInArrow(_flagged_texts(whole), _TEXTS).write.mode("overwrite").parquet(folder)
     texts = spark.read.schema(_TEXTS).parquet(folder)
     # A row that occurs twice stores its first chunk twice.
     first = texts.where("is_first").select("hash", F.col("chunk").alias("first_chunk")).dropDuplicates(["hash"])
@@ -151,7 +195,7 @@ def remove(rows: DataFrame, folder: str, key: str = "doc_id", text: str = "text"
     joined = marked.join(gone, "__mark", "left").drop("__mark")
     names = [*kept, *MADE]
     schema = rows.select(*kept).schema.add("n_lines", "long").add("n_removed", "long")
-    return joined.mapInArrow(_cut(names, text), schema)
+    return joined.mapInArrow(_cut(names, text, whole), schema)
 
 
 def digests(cleaned: DataFrame) -> DataFrame:

@@ -131,7 +131,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without runs of lines that occur before."""
     rows = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_chunks.digests(line_chunks.remove(rows, new_folder(spark, "line_chunks")))
+    return line_chunks.digests(line_chunks.remove(rows, new_folder(spark, "line_chunks"), whole=True))
 
 
 @query("op2_language_evidence")

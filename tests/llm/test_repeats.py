@@ -7,6 +7,7 @@ import pytest
 
 from hailgrid.llm import anchors, line_chunks, ngram_join
 from hailgrid.llm.components import components
+from hailgrid.llm.queries import QUERIES
 from tests.llm.samples import corpus
 
 FOLD = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -78,6 +79,50 @@ def test_line_chunks_go_after_their_first_occurrence(documents, folder):
     assert got.agg({"n_removed": "sum"}).first()[0] > 20
 
 
+def without_repeated_runs(rows):
+    """{id: texts}: lines go that are in a run of two or more lines which stands before, all pairs of places compared."""
+    unique = sorted({r[:2] for r in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
+    held, expected = [], defaultdict(set)
+    for i, text in unique:
+        lines = [] if text is None else text.split("\n")
+        gone = set()
+        for before in [*held, lines]:
+            for a in range(len(lines) - 1):
+                for b in range(len(before) - 1):
+                    if (before is not lines or b < a - 1) and before[b : b + 2] == lines[a : a + 2]:
+                        gone |= {a, a + 1}
+        held.append(lines)
+        expected[i].add((None if text is None else "\n".join(x for j, x in enumerate(lines) if j not in gone), len(gone)))
+    return expected
+
+
+def test_whole_runs_of_lines_go(documents, folder):
+    own = lambda i: f"own {i}"
+    rows = corpus() + [
+        (7000, "\n".join(map(str, range(40))), "en", "s"),
+        *[(7001 + i, "\n".join([own(i), *map(str, range(i, i + 2 + i % 3)), own(-i - 1)]), "en", "s") for i in range(30)],
+        (7100, "r\nr\nr", "en", "s"), (7101, "q\nq\nq\nq\nq", "en", "s"), (7102, "u\nv\nw\nu\nv", "en", "s"),
+        (7103, "end\nu\nv", "en", "s"), (7104, "v\nu", "en", "s"), (7105, "0\nnew\n2\n3\n4\n5", "en", "s"),
+    ]
+    given = documents(rows)
+    got = line_chunks.remove(given, folder, whole=True)
+    assert got.columns == [*given.columns, "n_lines", "n_removed"]
+    found = defaultdict(set)
+    for row in got.collect():
+        found[row.doc_id].add((row.text, row.n_removed))
+    assert found == without_repeated_runs(rows)
+    assert all(found[7001 + i] == {(f"own {i}\nown {-i - 1}", 2 + i % 3)} for i in range(30))
+    assert found[7100] == {("r\nr\nr", 0)} and found[7101] == {("q\nq", 3)} and found[7102] == {("u\nv\nw", 2)}
+
+
+def test_the_query_takes_whole_runs(spark, folder):
+    lines = [f"line {i * i}" for i in range(40)]
+    rows = [(0, "\n".join(lines))] + [(i, "\n".join([f"a{i}", *lines[i : i + 2], f"b{i}"])) for i in range(1, 30)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    got = QUERIES["op9_line_chunks"](spark, folder).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {0: 0} | {i: 2 for i in range(1, 30)}
+
+
 def test_chunks_are_lossless_and_resist_shifts():
     lines = [f"line {i * i}" for i in range(200)]
     text = "\n".join(lines)
