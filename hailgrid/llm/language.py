@@ -17,6 +17,10 @@ A row is rejected if its text is empty or blank, if trigrams drawn at random wou
 any language by ``CHANCE`` (log-likelihood of a trigram) or more, or if no language has a posterior of
 ``CERTAIN``. Whether a text is any good is not asked.
 
+Texts can be those of HTML pages (``page_text``): without comments, scripts, styles and tags, with entities as
+characters. Columns without hosts or declarations give no such evidence: names without a dot have no domain or
+suffix, and a column that is the label of training as well is no independent declaration.
+
 Rules: null, empty and blank texts have no evidence of their own and are rejected; their language is the one that
 declaration and host speak for. Null or unknown declarations and null hosts are no evidence. Hosts without
 a dot have neither domain nor suffix. Repeated rows count as often as they occur; ids may be null. Extra
@@ -26,7 +30,9 @@ unless the table is empty; an empty table gives no rows.
 
 from __future__ import annotations
 
+import html as markup
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,6 +144,16 @@ def url_host(url: str) -> Column:
     return F.when(found != "", found)
 
 
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S)
+# Quoted values may hold >; an odd quote ends with the tag.
+_TAG = re.compile(r"""<[/!?a-z](?:[^<>"']|"[^"<]*+"|'[^'<]*+')*+>|<[/!?a-z][^<>]*+>""", re.I)
+
+
+def page_text(html: str | None) -> str:
+    """The text of a page, with a blank for each tag."""
+    return markup.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", html or "")))
+
+
 def _suffix(host: str) -> Column:
     return F.when(F.col(host).contains("."), F.element_at(F.split(host, r"\."), -1))
 
@@ -153,8 +169,12 @@ def _domain(host: str) -> Column:
 def identify(
     rows: DataFrame, model: Model | None, folder: str, key: str = "doc_id", text: str = "text",
     declared: str | Column | None = "lang", host: str | Column | None = "source", keep: tuple[str, ...] = (),
+    html: bool = False,
 ) -> DataFrame:
-    """``key, language, posterior, text_language, declared, n_trigrams, accepted`` per row, and ``keep``."""
+    """``key, language, posterior, text_language, declared, n_trigrams, accepted`` per row, and ``keep``.
+
+    ``html``: the text column holds pages, and their text counts.
+    """
     spark = rows.sparkSession
     if model is None:
         kinds = "language string, posterior double, text_language string, declared string, n_trigrams long, accepted boolean"
@@ -175,7 +195,7 @@ def identify(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.unpack(*packed.value)
         for batch in slices(batches):
-            got = [own.score(x) for x in column(batch, "text")]
+            got = [own.score(page_text(x) if html else x) for x in column(batch, "text")]
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in plain]
             arrays += [pa.array([x[i] for x in got], t) for i, t in enumerate((pa.int64(), pa.float64(), pa.list_(pa.float64())))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*plain, "n_trigrams", "above", "likelihood"])

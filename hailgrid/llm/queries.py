@@ -136,9 +136,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_language_evidence")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The language of all documents; the source is the host, and ``lang`` what it declares."""
+    """The language of all documents and all pages.
+
+    For documents the source is the host, and ``lang``, which trains the model too, what it declares. Pages have
+    hosts with domains and suffixes, and declare their language in the markup.
+    """
     rows = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return language.identify(rows, language.train(rows), new_folder(spark, "language"))
+    model = language.train(rows)
+    found = language.identify(rows, model, new_folder(spark, "language"))
+    pages = language.identify(
+        table(spark, sf_dir, "pages"), model, new_folder(spark, "language-pages"), key="page_id", text="html",
+        declared=language.markup_language("html"), host=language.url_host("url"), html=True,
+    )
+    both = found.withColumn("origin", F.lit("documents")).unionByName(pages.withColumn("origin", F.lit("pages")), allowMissingColumns=True)
+    return both.select("origin", "doc_id", "page_id", *[c for c in found.columns if c != "doc_id"])
 
 
 @query(

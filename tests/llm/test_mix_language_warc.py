@@ -10,6 +10,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from hailgrid.llm import language, mixing, warc
+from hailgrid.llm.queries import QUERIES
 from tests.llm.samples import corpus
 
 KEYS = ["domain", "lang", "source"]
@@ -162,6 +163,32 @@ def test_markup_and_addresses(spark):
     assert [tuple(r) for r in parts] == [("example.co.uk", "uk"), ("b.de", "de"), (None, None), (None, None)]
 
 
+def test_text_of_pages():
+    page = """<!DOCTYPE html><html lang="de"><style>p{}</style><SCRIPT>var t="</p>";</SCRIPT ><!-- no <p> --><p title="a>b">1 &lt; 2 &amp; <b>x</b> < y</p><i don't>z</i>"""
+    assert language.page_text(page).split() == ["1", "<", "2", "&", "x", "<", "y", "z"]
+    assert language.page_text(None) == "" and language.page_text("a<script>b").split() == ["a"]
+
+
+def test_query_uses_markup_and_addresses_of_pages(spark, folder):
+    docs = [(i, t, la, "src0") for i, t, la, _ in labelled(300)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{folder}/documents.parquet")
+    html = lambda text, lang="": f"<!DOCTYPE html><html{lang and f' lang={lang}'}><script>the and the and</script><p>{text}</p></html>"
+    held = [(i, html(t, f'"{la}-XX"'), f"https://h{i}.site{i % 9}.{la}/x") for i, t, la, _ in labelled(200, seed=8)]
+    odd = [
+        (900, html("q"), "http://h1.site1.bb:80/"), (901, html("q"), "http://new.site1.bb/"), (902, html("q"), "http://new.other.cc/"),
+        (903, html("q", "cc"), None), (904, None, None), (None, html("the and of"), "nothing"),
+    ]
+    spark.createDataFrame(held + odd, "page_id long, html string, url string").write.parquet(f"{folder}/pages.parquet")
+    rows = QUERIES["op2_language_evidence"](spark, folder).collect()
+    assert sorted(r.doc_id for r in rows if r.origin == "documents") == list(range(300))
+    got = {r.page_id: r for r in rows if r.origin == "pages"}
+    assert len(rows) == 300 + len(held) + len(odd) and len(got) == len(held) + len(odd)
+    lang = {i: la for i, _, la, _ in labelled(200, seed=8)}
+    assert sum(got[i].language == lang[i] == got[i].declared for i in lang) >= 0.98 * len(held)
+    assert [got[i].language for i in (900, 901, 902, 903)] == ["bb", "bb", "cc", "cc"]
+    assert got[None].language == "aa" and not got[904].accepted
+
+
 def test_language_of_nothing(documents, folder):
     empty = documents([])
     assert language.identify(empty, language.train(empty), folder).count() == 0
