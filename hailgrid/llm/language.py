@@ -10,8 +10,9 @@
   suffix and over all; each level is smoothed with the one above it, so a host with few pages has the
   languages of its domain, a new domain those of its suffix.
 
-The model is trained on at most ``SAMPLE_ROWS`` labelled rows, chosen by a hash of their ids. Everything
-else covers all rows.
+Every label has a model, however rare it is. All rows are counted by label, and each label gives as many rows as
+its equal part of ``SAMPLE_ROWS``, one at least: those with the smallest hashes of their ids, or of their texts
+where they have no id. Rows of one id and label count as one there. Everything else covers all rows.
 
 A row is rejected if its text is empty or blank, if trigrams drawn at random would explain it better than
 any language by ``CHANCE`` (log-likelihood of a trigram) or more, or if no language has a posterior of
@@ -37,12 +38,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hailgrid.llm.arrow import column, slices, trimmed
-from hailgrid.llm.sampling import sampled_keys
 
 SAMPLE_ROWS = 4000
 CODES = 1 << 16
@@ -107,16 +107,26 @@ class Model:
 
 
 def train(rows: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> Model | None:
-    """A model from a bounded sample of labelled rows; None for an empty table."""
-    known = F.col(label).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull()
-    ids = sampled_keys(rows.where(known), key, SAMPLE_ROWS)
-    if not ids:
+    """A model from a sample of the rows of each label; None for an empty table."""
+    place = F.when(F.col(key).isNull(), F.xxhash64(F.lit(1), text)).otherwise(F.xxhash64(key))
+    known = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
+        F.lower(label).alias("label"), place.alias("key"), F.col(text).alias("text")
+    )
+    labels = known.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("least")).collect()
+    if not labels:
         if rows.limit(1).count():
             raise ValueError("no labelled rows to train on")
         return None
-    sample = rows.where(known & F.col(key).isin(ids)).select(
-        F.col(key).cast("string").alias("key"), F.col(text).alias("text"), F.lower(label).alias("label")
-    )
+    quota = max(1, SAMPLE_ROWS // len(labels))
+    # About twice as many rows of a label as wanted are below its bound, the one with its smallest hash always.
+    bounds = [(x["label"], max(x["least"], min(2**63 - 1, -(2**63) + 2**65 * quota // x["n"]))) for x in labels]
+    spark = rows.sparkSession
+    bounded = F.broadcast(spark.createDataFrame(bounds, "label string, bound long"))
+    near = known.join(bounded, "label").where("key <= bound").select("label", "key").distinct()
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("key"))
+    picked = near.withColumn("rank", rank).where(F.col("rank") <= quota).select("label", "key").collect()
+    wanted = F.broadcast(spark.createDataFrame(picked, "label string, key long"))
+    sample = known.join(wanted, ["label", "key"]).groupBy("label", "key").agg(F.min("text").alias("text"))
 
     @trimmed
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +139,7 @@ def train(rows: DataFrame, key: str = "doc_id", text: str = "text", label: str =
             yield pa.RecordBatch.from_arrays([pa.array([head]), pa.array([table], pa.binary())], names=["head", "table"])
 
     # One task, for the sample is bounded.
-    head, table = sample.limit(SAMPLE_ROWS).repartition(1).mapInArrow(work, "head string, table binary").collect()[0]
+    head, table = sample.repartition(1).mapInArrow(work, "head string, table binary").collect()[0]
     return Model.unpack(head, bytes(table))
 
 

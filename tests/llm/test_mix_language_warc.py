@@ -163,6 +163,17 @@ def test_markup_and_addresses(spark):
     assert [tuple(r) for r in parts] == [("example.co.uk", "uk"), ("b.de", "de"), (None, None), (None, None)]
 
 
+def test_every_label_has_a_model(documents, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 40)
+    rows = labelled(600)
+    # rare labels: one row, rows without ids, and one id many times
+    rare = [(1000, "zq xj zq", "dd", None), *[(None, f"w{i} ww", "ee", None) for i in range(3)], *[(1001, "vv", "ff", None)] * 300]
+    model = language.train(documents(rows + rare))
+    assert model.languages == ["aa", "bb", "cc", "dd", "ee", "ff"]
+    for text, lang in (("zq xj", "dd"), ("w1 ww", "ee"), ("vv", "ff"), ("the and of", "aa")):
+        assert model.languages[model.score(text)[2].index(0.0)] == lang
+
+
 def test_text_of_pages():
     page = """<!DOCTYPE html><html lang="de"><style>p{}</style><SCRIPT>var t="</p>";</SCRIPT ><!-- no <p> --><p title="a>b">1 &lt; 2 &amp; <b>x</b> < y</p><i don't>z</i>"""
     assert language.page_text(page).split() == ["1", "<", "2", "&", "x", "<", "y", "z"]
