@@ -3,13 +3,17 @@
 A k-mer of code points is a closed syncmer if the smallest of its inner s-mers (by hash) is its first or
 its last one. That depends on the k-mer alone, so the same passage gives the same anchors in any text, at
 positions that differ by a constant; any stretch of text long enough has some. ``anchors`` gives positions
-and hashes; a fingerprint holds the ``KEPT`` smallest distinct anchor hashes, 32 bits each, in order, and
-the likeness of two fingerprints estimates the share of anchors that their texts have in common.
+and hashes; a fingerprint holds the ``KEPT`` smallest distinct anchor hashes, 32 bits each with their size, in
+order, and the likeness of two fingerprints estimates the share of anchors that their texts have in common.
 
-Rules: a null text counts as empty. An empty text has an empty fingerprint. A text without a syncmer of
-``K``, one shorter than ``K`` for example, uses those of ``SHORT``; without these, the hash of the whole
-text is its only entry. So equal texts have equal
-fingerprints. Two empty fingerprints have likeness 1, an empty and another one 0. Rows with one key follow
+``K`` is too long for short texts. A text with fewer than ``FEW`` distinct syncmers of one of the ``SIZES``
+has those of the next size in its fingerprint as well, up to ``KEPT`` of each; the last size takes every run of
+three. The two highest bits of an entry tell its size. Two fingerprints are compared by the smallest size that both
+have, never across sizes.
+
+Rules: a null text counts as empty. An empty text has an empty fingerprint. A text of one or two code points has
+the hash of the whole text as its only entry. So equal texts have equal
+fingerprints. Fingerprints without a common size have likeness 0. Two empty fingerprints have likeness 1, an empty and another one 0. Rows with one key follow
 each other in the order of a text hash; null keys come first. Extra columns take no part. Long texts are
 read in pieces of ``PIECE`` code points, none is cut off. An empty table gives no rows.
 """
@@ -29,6 +33,9 @@ from hailgrid.llm.rolling import mixed, runs, smallest
 
 K, S = 24, 8
 SHORT = (6, 2)
+SIZES = ((K, S), SHORT, (3, 2))
+FEW = (16, 8, 0)
+WHOLE = len(SIZES)
 KEPT = 48
 PIECE = 1 << 19
 
@@ -60,23 +67,31 @@ def _least(text: str, kept: int, k: int, s: int) -> np.ndarray:
 
 
 def fingerprint(text: str, kept: int = KEPT) -> bytes:
-    """The smallest distinct anchor hashes as big-endian 32-bit integers."""
+    """The smallest distinct anchor hashes as big-endian 32-bit integers, the size in the two highest bits."""
     if not text:
         return b""
-    least = _least(text, kept, K, S)
-    if not len(least):
-        least = _least(text, kept, *SHORT)
-    if not len(least):
+    parts = []
+    for size, ((k, s), few) in enumerate(zip(SIZES, FEW)):
+        least = _least(text, kept, k, s)
+        parts.append(np.unique(least >> np.uint32(2)) | np.uint32(size << 30))
+        if len(least) >= min(few, kept):
+            break
+    entries = np.concatenate(parts)
+    if not len(entries):
         whole = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=4)
-        return whole.digest()
-    return least.astype(">u4").tobytes()
+        entries = np.array([int.from_bytes(whole.digest(), "big") >> 2 | WHOLE << 30], np.uint32)
+    return entries.astype(">u4").tobytes()
 
 
 def likeness(a: bytes, b: bytes, kept: int = KEPT) -> float:
-    """Share of the smallest entries of both together that are in both."""
+    """Share of the smallest entries of both together that are in both, of the smallest size that both have."""
     if not a or not b:
         return float(a == b)
-    x, y = (np.frombuffer(v, ">u4") for v in (a, b))
+    x, y = (np.frombuffer(v, ">u4").astype(np.uint32) for v in (a, b))
+    common = np.intersect1d(x >> np.uint32(30), y >> np.uint32(30))
+    if not len(common):
+        return 0.0
+    x, y = (v[v >> np.uint32(30) == common[-1]] for v in (x, y))
     both = np.union1d(x, y)[:kept]
     return float(np.isin(both, np.intersect1d(x, y)).sum() / len(both))
 

@@ -78,6 +78,20 @@ def test_neighbours_in_order(documents):
     assert np.mean([r.near_edited for r in long_ones]) > 0.4 > 0.2 > np.mean([r.near_next for r in long_ones])
 
 
+def test_short_texts_are_near_their_edits():
+    r = np.random.default_rng(6)
+    texts = ["".join(r.choice(list("abcdefghijklmnopqrstuvwxyz  éß日"), n)) for n in range(4, 300) for _ in range(4)]
+    near, far = [], []
+    for text, following in zip(texts, texts[4:] + texts[:4]):
+        a, b, c = (syncmers.fingerprint(t) for t in (text, syncmers.edited(text, following), following))
+        near.append(syncmers.likeness(a, b))
+        far.append(syncmers.likeness(a, c))
+        # an edit without a replacement is shorter, and may be of another size
+        assert syncmers.likeness(a, syncmers.fingerprint(syncmers.edited(text, ""))) > 0
+    short = [x for x, t in zip(near, texts) if 8 <= len(t) <= 64]
+    assert min(near) > 0 and np.mean(short) > 0.4 and np.mean(near) > 0.4 > 0.1 > np.mean(far)
+
+
 def test_likeness_of_empty_and_equal():
     a, b = syncmers.fingerprint("some text of a few words"), syncmers.fingerprint("")
     assert b == b"" and syncmers.likeness(b, b) == 1.0 and syncmers.likeness(a, b) == 0.0
