@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hailgrid.functions.storage import new_folder
-from hailgrid.llm import anchors, bitplane, bpe, language, line_chunks, mixing, mixing_sql, mtree, ngram_join, syncmers, warc
+from hailgrid.llm import (
+    anchors, bitplane, bpe, hilbert, language, line_chunks, merkle, mixing, mixing_sql, mtree, ngram_join, syncmers, warc,
+)
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -171,3 +173,17 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best other vectors of every fiftieth vector."""
     rows = table(spark, sf_dir, "embeddings")
     return mtree.top(rows, new_folder(spark, "mtree"), F.col("vec_id") % 50 == 0)
+
+
+@query("op12_hilbert_shards")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards along a curve through source, language and length, read back from the files."""
+    folder = new_folder(spark, "hilbert")
+    hilbert.write_shards(table(spark, sf_dir, "documents"), folder, ["source", "lang", "n_chars"], shards=16)
+    return hilbert.digests(hilbert.read_shards(spark, folder))
+
+
+@query("op13_merkle_levels")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their proofs, and what tampered copies lead to."""
+    return merkle.verified(table(spark, sf_dir, "documents"), new_folder(spark, "merkle"))
