@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hailgrid.functions.storage import new_folder
 from hailgrid.llm import (
-    anchors, bitplane, bpe, hilbert, language, line_chunks, merkle, mixing, mixing_sql, mtree, ngram_join, syncmers, warc,
+    alignment, anchors, bitplane, bpe, hilbert, language, line_chunks, merkle, mixing, mixing_sql, mtree, ngram_join, syncmers, warc,
 )
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -187,3 +187,11 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their proofs, and what tampered copies lead to."""
     return merkle.verified(table(spark, sf_dir, "documents"), new_folder(spark, "merkle"))
+
+
+@query("op11_interval_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in two tokenizers, and how common the pairs of ids are that their tokens link."""
+    a_path, b_path = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    chunks = alignment.store(table(spark, sf_dir, "documents"), new_folder(spark, "alignment"), a_path, b_path)
+    return alignment.documents(chunks, b_path)
