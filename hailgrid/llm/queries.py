@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hailgrid.functions.storage import new_folder
 from hailgrid.llm import (
-    alignment, anchors, bitplane, bpe, hilbert, language, line_chunks, merkle, mixing, mixing_sql, mtree, ngram_join, syncmers, warc,
+    alignment, anchors, bitplane, bpe, hilbert, language, line_chunks, merkle, merkle_sql, mixing, mixing_sql, mtree, ngram_join, syncmers, warc,
 )
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -183,7 +183,7 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.digests(hilbert.read_shards(spark, folder))
 
 
-@query("op13_merkle_levels")
+@query("op13_merkle_levels", merkle_sql.SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their proofs, and what tampered copies lead to."""
     return merkle.verified(table(spark, sf_dir, "documents"), new_folder(spark, "merkle"))
