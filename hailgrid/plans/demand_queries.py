@@ -26,9 +26,10 @@ def optional_dates(
     return rows
 
 
-def checked_limit(limit: int) -> int:
-    if limit < 1:
-        raise ValueError("limit must be at least 1")
+def checked_limit(limit: int, at_most: int | None = None) -> int:
+    """A limit of 1 at least and, if the caller sets a bound, ``at_most`` at most."""
+    if limit < 1 or (at_most is not None and limit > at_most):
+        raise ValueError("limit must be at least 1" + ("" if at_most is None else f" and {at_most} at most"))
     return limit
 
 
@@ -141,7 +142,7 @@ def demand_over_time(facts: DataFrame, first=None, last=None) -> DataFrame:
     )
 
 
-def top_zones(facts: DataFrame, zones: DataFrame, limit: int = 10) -> DataFrame:
+def top_zones(facts: DataFrame, zones: DataFrame, limit: int = 10, at_most: int | None = None) -> DataFrame:
     """Zones by total demand, with mean hourly demand."""
     totals = facts.groupBy(F.col("location_id").alias("LocationID")).agg(
         F.round(F.avg("demand"), 6).alias("avg_hourly_demand"),
@@ -151,7 +152,7 @@ def top_zones(facts: DataFrame, zones: DataFrame, limit: int = 10) -> DataFrame:
         totals.join(_zone_labels(zones), "LocationID")
         .select(*LABELS, "avg_hourly_demand", "total_demand")
         .orderBy(F.desc("total_demand"), "LocationID")
-        .limit(checked_limit(limit))
+        .limit(checked_limit(limit, at_most))
     )
 
 

@@ -65,7 +65,7 @@ def revenue_over_time(facts: DataFrame) -> DataFrame:
     )
 
 
-def revenue_by_zone(facts: DataFrame, zones: DataFrame, limit: int = 10) -> DataFrame:
+def revenue_by_zone(facts: DataFrame, zones: DataFrame, limit: int = 10, at_most: int | None = None) -> DataFrame:
     """Pickup zones by fare revenue."""
     totals = facts.groupBy("location_id").agg(
         _trips(),
@@ -77,7 +77,7 @@ def revenue_by_zone(facts: DataFrame, zones: DataFrame, limit: int = 10) -> Data
         _labelled(totals, zones)
         .select(*LABELS, "total_trips", "fare_amount", "total_amount", "avg_fare_per_trip")
         .orderBy(F.desc("fare_amount"), "LocationID")
-        .limit(checked_limit(limit))
+        .limit(checked_limit(limit, at_most))
     )
 
 
@@ -97,7 +97,7 @@ def tip_analysis(facts: DataFrame) -> DataFrame:
     return facts.where(F.col("payment_type") == CREDIT_CARD).agg(*_tip_columns())
 
 
-def tip_analysis_by_zone(facts: DataFrame, zones: DataFrame, limit: int = 10) -> DataFrame:
+def tip_analysis_by_zone(facts: DataFrame, zones: DataFrame, limit: int = 10, at_most: int | None = None) -> DataFrame:
     """Pickup zones by recorded credit-card tips."""
     totals = (
         facts.where(F.col("payment_type") == CREDIT_CARD).groupBy("location_id").agg(*_tip_columns())
@@ -106,7 +106,7 @@ def tip_analysis_by_zone(facts: DataFrame, zones: DataFrame, limit: int = 10) ->
         _labelled(totals, zones)
         .drop("service_zone")
         .orderBy(F.desc("total_tips"), "LocationID")
-        .limit(checked_limit(limit))
+        .limit(checked_limit(limit, at_most))
     )
 
 
@@ -146,7 +146,7 @@ def _band_figures(banded: DataFrame) -> DataFrame:
     )
 
 
-def airport_zones(facts: DataFrame, zones: DataFrame, limit: int = 10) -> DataFrame:
+def airport_zones(facts: DataFrame, zones: DataFrame, limit: int = 10, at_most: int | None = None) -> DataFrame:
     """The airports among the top revenue zones."""
     top = revenue_by_zone(facts, zones, limit)
     return top.where(F.col("service_zone") == AIRPORT_SERVICE_ZONE).select(

@@ -28,13 +28,19 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def spelled(value) -> str:
+    """The plain spelling of a value; everything that pandas takes for missing is spelled alike."""
+    missing = pd.isna(value)
+    return "missing" if isinstance(missing, bool) and missing else str(value)
+
+
 def differences(names: list[str], spark_rows, duck_names: list[str], duck_rows) -> str:
     """Compare rows in any order, columns by name, values by their plain spelling."""
     if sorted(names) != sorted(duck_names):
         return f"columns {sorted(names)} vs {sorted(duck_names)}"
     order, duck_order = np.argsort(names), np.argsort(duck_names)
-    a = sorted(tuple(str(row[i]) for i in order) for row in spark_rows)
-    b = sorted(tuple(str(row[i]) for i in duck_order) for row in duck_rows)
+    a = sorted(tuple(spelled(row[i]) for i in order) for row in spark_rows)
+    b = sorted(tuple(spelled(row[i]) for i in duck_order) for row in duck_rows)
     if a == b:
         return ""
     only_a, only_b = sorted(set(a) - set(b))[:2], sorted(set(b) - set(a))[:2]

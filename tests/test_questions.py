@@ -55,9 +55,14 @@ def test_ratios_are_empty_without_trips(facts):
 
 def test_limits_and_dates_are_checked(spark, facts):
     zones = dim_zone(zones_frame(spark, 1, 2))
-    for limit in (0, 266):
+    for limit in (0, -1):
         with pytest.raises(ValueError):
             r.revenue_by_zone(facts, zones, limit)
+    # A caller that wants no more rows than there are zones says so.
+    for ranked in (r.revenue_by_zone, r.tip_analysis_by_zone):
+        assert ranked(facts, zones, 265, at_most=265).count() > 0
+        with pytest.raises(ValueError):
+            ranked(facts, zones, 266, at_most=265)
     with pytest.raises(ValueError):
         d.optional_dates(facts, "pickup_date", date(2024, 2, 1), date(2024, 1, 1))
 
