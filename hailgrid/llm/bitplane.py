@@ -17,14 +17,15 @@ among themselves. Other columns take no part. An empty table gives no files and
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -39,75 +40,117 @@ BLOCK = 1 << 16
 #: Ids after which a file is closed: 16 MB before compression.
 FILE_IDS = 4 << 20
 LEVEL = 3
-#: Words, and letters of words, whose ids a Python worker remembers; a full memory starts again.
-REMEMBERED, REMEMBERED_LETTERS = 200_000, 500_000
-#: Blanks that every splitting rule drops; other blanks are left to the tokenizer.
-WORDS = re.compile(r"[^ \t\n\r]+")
+#: Letters of words whose ids a Python worker remembers; a full memory starts again.
+REMEMBERED_LETTERS = 600_000
+#: Letters that the library encodes as one text.
+LEARNED_AT_ONCE = 4096
 #: Words that are split and lower-cased letter by letter: Latin letters without combining marks.
-PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
+PLAIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
 
 MANIFEST = "task int, file int, name string, documents long, ids long, bytes long"
 DOCUMENTS = "name string, doc_id long, first long, ids binary"
 
 
+def _refusal(spec: dict) -> str | None:
+    """Why a tokenizer file can't be encoded word by word, or None."""
+    parts = lambda x, key: x[key] if x and x.get("type") == "Sequence" else [x] if x else []
+    steps = parts(spec["normalizer"], "normalizers")
+    blanks = [x for x in steps if x["type"] == "Replace"]
+    if sorted(x["type"] for x in steps) != ["Lowercase", "NFC", "Replace"] or blanks[0]["pattern"] != {"Regex": "\\s+"} or blanks[0]["content"] != " ":
+        return "its normalizer is not: compose, make runs of white space one blank, lower case"
+    cuts = parts(spec["pre_tokenizer"], "pretokenizers")
+    if [x["type"] for x in cuts] != ["Split", "ByteLevel"] or cuts[1].get("add_prefix_space") or cuts[1].get("use_regex", True):
+        return "it is not split by one pattern and coded by bytes"
+    split = cuts[0]
+    if split["behavior"] != "Removed" or not split["invert"] or "\\s" in split["pattern"].get("Regex", "\\s").replace("[^\\s", ""):
+        return "its pattern may take white space into words"
+    model = spec["model"]
+    if model["type"] != "BPE" or model.get("end_of_word_suffix") != "</w>" or model.get("dropout") or model.get("ignore_merges"):
+        return "it is not BPE with ends of words"
+    if any(x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"] or x["content"].split() != [x["content"]] for x in spec["added_tokens"]):
+        return "its added tokens look at what stands around them"
+    return None
+
+
 class Words:
     """Ids of texts by a tokenizer that drops blanks, lowers case and never joins words across blanks.
 
-    Words are encoded by the tokenizers library, once as long as they are remembered. Most words are
-    letters with perhaps a full stop or comma behind; their lower-cased letters are remembered apart, and
-    new ones are encoded together as one text, whose ids are divided after each id that ends a word.
+    The distinct words of a slice are encoded by the tokenizers library, and their ids are laid out by offsets.
+    Most words are letters with perhaps a full stop or comma behind; their lower-cased letters are remembered,
+    and new ones are encoded together as one text, whose ids are divided after each id that ends a word. Files
+    with other rules are refused.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already use the cores
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as file:
+            refusal = _refusal(json.load(file))
+        if refusal:
+            raise ValueError(f"{path} can't be encoded word by word: {refusal}")
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.letters: dict[str, bytes] = {}
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[number for token, number in vocab.items() if token.endswith("</w>")]] = True
-        self.marks = {mark: self._one(mark) for mark in ("", ".", ",")}
+        self.marks = [self._one(mark) for mark in ("", ".", ",")]
 
     def _one(self, word: str) -> bytes:
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _learn_letters(self, new: list[str]) -> None:
-        ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(self.ends_word[ids]) + 1
-        if len(ends) != len(new):
-            self.letters.update((word, self._one(word)) for word in new)
-            return
-        packed, bounds = ids.tobytes(), (4 * ends).tolist()
-        for word, start, end in zip(new, [0, *bounds], bounds):
-            self.letters[word] = packed[start:end]
-
     def _learn(self, new: list[str]) -> None:
-        plain, other = [], []
-        for word in new:
-            found = PLAIN.fullmatch(word)
-            if found:
-                plain.append((word, found[1].lower(), found[2]))
-            else:
-                other.append(word)
-        unknown = list({letters for _, letters, _ in plain}.difference(self.letters))
-        for start in range(0, len(unknown), 4096):
-            self._learn_letters(unknown[start : start + 4096])
-        for word, letters, mark in plain:
-            self.known[word] = self.letters[letters] + self.marks[mark]
-        for word, got in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            self.known[word] = struct.pack(f"<{len(got.ids)}I", *got.ids)
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [WORDS.findall(text or "") for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        for start in range(0, len(new), LEARNED_AT_ONCE):
+            some = new[start : start + LEARNED_AT_ONCE]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(some):
+                self.letters.update((word, self._one(word)) for word in some)
+                continue
+            packed, bounds = ids.tobytes(), (4 * ends).tolist()
+            self.letters.update((word, packed[a:b]) for word, a, b in zip(some, [0, *bounds], bounds))
+
+    def _of_words(self, distinct: pa.Array) -> list[bytes]:
+        """The ids of distinct words."""
+        last = pc.utf8_slice_codeunits(distinct, -1)
+        stop, comma = pc.equal(last, "."), pc.equal(last, ",")
+        letters = pc.if_else(pc.or_(stop, comma), pc.utf8_slice_codeunits(distinct, 0, -1), distinct)
+        plain = pc.match_substring_regex(letters, PLAIN)
+        kinds = (pc.cast(stop, pa.int8()).to_numpy() + 2 * pc.cast(comma, pa.int8()).to_numpy())[plain.to_numpy(zero_copy_only=False)]
+        coded = pc.utf8_lower(letters.filter(plain)).dictionary_encode()
+        lower = coded.dictionary.to_pylist()
         if len(self.letters) > REMEMBERED_LETTERS:
             self.letters.clear()
-        self._learn(list(set().union(*split).difference(self.known)))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        self._learn([word for word in lower if word not in self.letters])
+        ids = [self.letters[word] for word in lower]
+        found = iter([ids[i] + self.marks[kind] for i, kind in zip(coded.indices.to_pylist(), kinds.tolist())])
+        other = distinct.filter(pc.invert(plain)).to_pylist()
+        rest = iter(self.tokenizer.encode_batch_fast(other, add_special_tokens=False))
+        pack = lambda got: struct.pack(f"<{len(got.ids)}I", *got.ids)
+        return [next(found) if is_plain else pack(next(rest)) for is_plain in plain.to_pylist()]
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one behind the other, and how many each text has; a null has none."""
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = split.flatten().dictionary_encode()
+        packed = self._of_words(coded.dictionary)
+        sizes = np.array([len(x) // 4 for x in packed], np.int64)
+        firsts = np.cumsum(sizes) - sizes
+        word = coded.indices.to_numpy()
+        ends = np.cumsum(sizes[word])
+        places = np.repeat(firsts[word] - (ends - sizes[word]), sizes[word])
+        places += np.arange(len(places))
+        ids = np.frombuffer(b"".join(packed), "<u4")[places]
+        bounds = split.offsets.to_numpy()
+        return ids, np.diff(np.concatenate([[0], ends])[bounds - bounds[0]])
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        ids, counts = self.encode_array(pa.array(texts, pa.string()))
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
 
 
 @lru_cache(maxsize=4)
@@ -148,8 +191,13 @@ def _table(columns: dict) -> bytes:
 
 
 def shard(keys: list[int | None], documents: list[bytes], kind: str = "byte", block: int = BLOCK) -> bytes:
-    """The bytes of a shard file."""
-    ids = np.frombuffer(b"".join(documents), "<u4")
+    """The bytes of a shard file of documents, given as packed ids."""
+    counts = np.array([len(x) // 4 for x in documents], np.int64)
+    return shard_of(pa.array(keys, pa.int64()), np.frombuffer(b"".join(documents), "<u4"), counts, kind, block)
+
+
+def shard_of(keys: pa.Array, ids: np.ndarray, counts: np.ndarray, kind: str = "byte", block: int = BLOCK) -> bytes:
+    """The bytes of a shard file: documents' keys, their ids one behind the other, and how many each has."""
     body, places, sizes, at = [MAGIC], [], [], len(MAGIC)
     for start in range(0, len(ids), block):
         planes = pack(ids[start : start + block], kind)
@@ -157,13 +205,12 @@ def shard(keys: list[int | None], documents: list[bytes], kind: str = "byte", bl
         sizes.append([len(x) for x in planes])
         body += planes
         at += sum(sizes[-1])
-    counts = np.array([len(x) // 4 for x in documents], np.int64)
     chunks = _table({
         "place": pa.array(places, pa.int64()),
         "sizes": pa.array(sizes, pa.list_(pa.int32())),
     })
     index = _table({
-        "doc_id": pa.array(keys, pa.int64()),
+        "doc_id": keys,
         "first": pa.array(np.cumsum(counts) - counts, pa.int64()),
         "ids": pa.array(counts, pa.int64()),
     })
@@ -215,7 +262,6 @@ def write_ids(
     """
     ordered = rows.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     ordered = ordered.repartitionByRange("key").sortWithinPartitions("key")
-    end = struct.pack("<I", end_id)
     out_schema = pa.schema([
         ("task", pa.int32()), ("file", pa.int32()), ("name", pa.string()),
         ("documents", pa.int64()), ("ids", pa.int64()), ("bytes", pa.int64()),
@@ -223,27 +269,34 @@ def write_ids(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task, number = words(path), TaskContext.get().partitionId(), 0
-        keys: list[int | None] = []
-        documents: list[bytes] = []
+        parts: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         pending = 0
 
         def close() -> pa.RecordBatch:
             name = unique(f"ids-{task:06d}-{number:04d}", ".idp")
-            data = shard(keys, documents, kind, block)
+            keys, ids, counts = pa.concat_arrays([x[0] for x in parts]), *(np.concatenate([x[i] for x in parts]) for i in (1, 2))
+            data = shard_of(keys, ids, counts, kind, block)
             write_file(folder, name, data)
             row = [task, number, name, len(keys), pending, len(data)]
             return pa.RecordBatch.from_pylist([dict(zip(out_schema.names, row))], schema=out_schema)
 
         for batch in slices(batches):
-            encoded = encoder.encode(column(batch, "text"))
-            for one, ids in zip(column(batch, "key"), encoded):
-                keys.append(one)
-                documents.append(ids + end)
-                pending += len(ids) // 4 + 1
+            keys = batch.column(0)
+            ids, counts = encoder.encode_array(batch.column(1))
+            ids = np.insert(ids, np.cumsum(counts), end_id)
+            counts = counts + 1
+            ends = np.cumsum(counts)
+            first = 0
+            while first < len(keys):
+                done = ends[first - 1] if first else 0
+                stop = min(len(keys), int(np.searchsorted(ends, done + file_ids - pending)) + 1)
+                parts.append((keys.slice(first, stop - first), ids[done : ends[stop - 1]], counts[first:stop]))
+                pending += int(ends[stop - 1] - done)
+                first = stop
                 if pending >= file_ids:
                     yield close()
-                    keys, documents, pending, number = [], [], 0, number + 1
-        if keys:
+                    parts, pending, number = [], 0, number + 1
+        if parts:
             yield close()
 
     store = f"{folder}/manifest"
