@@ -13,8 +13,7 @@ from hailgrid.fixed import (
     PICKUP,
 )
 from hailgrid.functions.calendar import iso_weekday, seconds_between
-from hailgrid.functions.sizing import BROADCAST_ROWS
-from hailgrid.operators.cleaning import clean_trips
+from hailgrid.operators.cleaning import FILTER_WORDS, clean_trips
 
 
 def business_predicate(trips: DataFrame) -> DataFrame:
@@ -60,9 +59,9 @@ def trip_calendar(trips: DataFrame) -> DataFrame:
     )
 
 
-def business_trips(trips: DataFrame, start, end, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def business_trips(trips: DataFrame, start, end, filter_words: int = FILTER_WORDS) -> DataFrame:
     """The whole chain from raw trips to business trips."""
-    return business_from_clean(clean_trips(trips, start, end, broadcast_rows))
+    return business_from_clean(clean_trips(trips, start, end, filter_words))
 
 
 def business_from_clean(cleaned: DataFrame) -> DataFrame:

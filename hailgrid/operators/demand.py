@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hailgrid.fixed import PICKUP, TRIP_KEY, ZONE_COLUMNS
+from hailgrid.fixed import PICKUP, ZONE_COLUMNS
 from hailgrid.functions.calendar import iso_weekday, weekday_name, zoneless_hour
-from hailgrid.functions.sizing import BROADCAST_ROWS, within
 from hailgrid.operators.cleaning import (
-    CHARGED_BACK,
-    drop_few_reversals,
+    FILTER_WORDS,
     filter_chronological,
     filter_time_window,
+    parted,
+    surviving_keys,
 )
 
 SLOT = ["LocationID", "pickup_hour"]
@@ -30,28 +30,17 @@ def _per_zone_hour(trips: DataFrame, demand: Column) -> DataFrame:
     ).agg(demand.alias("demand"))
 
 
-def clean_hourly_demand(
-    trips: DataFrame, start, end, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def clean_hourly_demand(trips: DataFrame, start, end, filter_words: int = FILTER_WORDS) -> DataFrame:
     """Hourly demand of the cleaned trips, straight from raw trips.
 
-    Equal to counting ``clean_trips``. Zone and hour are part of the trip key, so when the
-    reversed keys are too many to broadcast, one aggregate per key both finds the reversals
-    and carries the count. Trips are then never joined, and copies of a hot key are combined
-    before the only large shuffle.
+    Equal to counting ``clean_trips``. Zone and hour are part of the trip key, so one aggregate per key both finds
+    the reversals among the suspects and carries their count. Trips are never joined with keys, and copies of a
+    hot key are combined before the shuffle.
     """
     in_time = filter_chronological(filter_time_window(trips, start, end))
-    if within(in_time.where(CHARGED_BACK), broadcast_rows):
-        return hourly_demand(drop_few_reversals(in_time))
-    per_key = in_time.groupBy(*TRIP_KEY).agg(
-        F.count(F.lit(1)).alias("records"),
-        F.min("fare_amount").alias("min_fare"),
-        F.max("fare_amount").alias("max_fare"),
-    )
-    # An incomplete key never identifies a reversal.
-    complete = " AND ".join(f"{name} IS NOT NULL" for name in TRIP_KEY)
-    reversal = F.expr(f"min_fare < 0 AND max_fare >= 0 AND {complete}")
-    return _per_zone_hour(per_key.where(~F.coalesce(reversal, F.lit(False))), F.sum("records"))
+    clear, suspects = parted(in_time, filter_words)
+    counted = hourly_demand(clear).unionByName(_per_zone_hour(surviving_keys(suspects), F.sum("records")))
+    return counted.groupBy(*SLOT).agg(F.sum("demand").alias("demand"))
 
 
 def zone_hours(zones: DataFrame, first_hour: str, last_hour: str) -> DataFrame:

@@ -40,7 +40,7 @@ def _(t):
 
 @check("clean_hourly_demand_by_key", "SELECT * FROM hourly")
 def _(t):
-    return d.clean_hourly_demand(t.trips, START, END, broadcast_rows=0)
+    return d.clean_hourly_demand(t.trips, START, END, filter_words=0)
 
 
 @check("cross_zone_hours", "SELECT * FROM zone_hours")

@@ -141,7 +141,7 @@ def _(t):
 
 @check("clean_trips_shuffled", "SELECT * FROM clean")
 def _(t):
-    return c.clean_trips(t.trips, START, END, broadcast_rows=0)
+    return c.clean_trips(t.trips, START, END, filter_words=0)
 
 
 @check("anti_join_corrections", TRIP_SUMMARY.format("clean"))
