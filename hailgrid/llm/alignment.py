@@ -38,8 +38,10 @@ from hailgrid.llm.bpe import PIECES, byte_letters
 
 #: Text of a chunk; a longer document is a chunk alone.
 CHUNK_BYTES = 16 << 20
+#: Text whose tokens are sorted at once.
+SLICE_BYTES = 1 << 20
 #: Links that are expanded at once.
-LINKS_AT_ONCE = 4 << 20
+LINKS_AT_ONCE = 1 << 20
 #: Groups with more links are reduced to their distinct ids first.
 LARGE_GROUP = 256
 
@@ -271,7 +273,7 @@ def store(rows: DataFrame, folder: str, a_path: str, b_path: str, key: str = "do
             ]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE_BYTES):
             texts = column(batch, "text")
             found = Aligned(tools, texts)
             doc, pair_keys, pair_times = found.links()
@@ -362,7 +364,7 @@ def alignments(rows: DataFrame, a_path: str, b_path: str, key: str = "doc_id", t
     @trimmed
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = pair(a_path, b_path)
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE_BYTES):
             found = Aligned(tools, column(batch, "text"))
             out = [[[] for _ in range(found.total)] for _ in range(5)]
             a_at, b_at = (np.concatenate([[0], np.cumsum(n)]) for n in (found.n_a, found.n_b))
