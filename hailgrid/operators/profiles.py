@@ -83,7 +83,11 @@ def full_profiles(demand: DataFrame) -> DataFrame:
 
     A weekly hour that was never observed has no mean of its own but still gets the wider ones.
     """
-    observed = _partials(with_future_calendar(demand), SLOT_KEYS)
+    return profiles_of_partials(_partials(with_future_calendar(demand), SLOT_KEYS))
+
+
+def profiles_of_partials(observed: DataFrame) -> DataFrame:
+    """``full_profiles`` from demand sums and counts per zone, weekday and hour."""
     weekly_hours = (
         observed.select("LocationID")
         .distinct()

@@ -26,7 +26,7 @@ def select_future_model(demand: DataFrame, root: str, overrides: dict[str, dict]
 
 def publish_future_forecast(
     spark: SparkSession, demand: DataFrame, root: str, overrides: dict[str, dict] | None = None
-) -> str:
+) -> int:
     """Publish profile, metrics and metadata of the stored backtest's winner as one version."""
     summary = scan_metrics_csv(spark, f"{root}/future_model_summary", "future_summary")
     winner = winner_name(summary)
@@ -42,7 +42,7 @@ def publish_future_forecast(
 
 def publish_historical_model(
     spark: SparkSession, features: DataFrame, zones: DataFrame, root: str, **settings
-) -> str:
+) -> int:
     """Train the historical forest, store the run and publish its serving tables."""
     run = store_run(train_historical(features, **settings), f"{root}/historical_run")
     if run.predictions.isEmpty():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 from functools import lru_cache
 
 from pyspark.ml import Pipeline
@@ -18,6 +18,7 @@ from hailgrid.fixed import (
 from hailgrid.models import evaluation as e
 from hailgrid.models import future as fut
 from hailgrid.models import historical as hist
+from hailgrid.operators import profile_store as store
 from hailgrid.operators import profiles as p
 from hailgrid.operators.demand import complete_grid
 from hailgrid.operators.history import demand_features
@@ -58,6 +59,39 @@ def _(t):
     return rounded(p.expanding_profiles(t.monthly_demand))
 
 
+def profile_store(t) -> str:
+    """A store built without some months, which then come in an order of their own, one of them twice."""
+    root, at = t.folder("profiles"), F.date_trunc("month", "pickup_hour")
+    months = [(r["y"], r["m"]) for r in t.monthly_demand.select(F.year("pickup_hour").alias("y"), F.month("pickup_hour").alias("m")).distinct().orderBy("y", "m").collect()]
+    late = [months[len(months) // 2], months[-1], months[0]]
+    is_late = F.lit(False)
+    for y, m in late:
+        is_late |= at == F.lit(datetime(y, m, 1))
+    store.build_profiles(t.monthly_demand.where(~is_late), root)
+    # At first one month comes with half of its demand.
+    store.update_profiles(t.monthly_demand.where("LocationID < 3"), root, *late[0])
+    for month in late:
+        store.update_profiles(t.monthly_demand, root, *month)
+    return root
+
+
+@check("profile_store_partials", "SELECT * FROM partials")
+def _(t):
+    return store.stored_partials(t.spark, profile_store(t))
+
+
+@check("profile_store_expanding", "SELECT * FROM expanding")
+def _(t):
+    return rounded(store.stored_expanding_profiles(t.spark, profile_store(t)))
+
+
+@check("profile_store_full", """SELECT "LocationID", day_of_week, hour,
+    ROUND(zone_mean_demand, 6) AS zone_mean_demand, ROUND(zone_hour_mean, 6) AS zone_hour_mean,
+    ROUND(zone_dow_hour_mean, 6) AS zone_dow_hour_mean FROM scoring WHERE month = 1""")
+def _(t):
+    return rounded(store.stored_full_profiles(t.spark, profile_store(t)))
+
+
 @check("join_profiles", """SELECT "LocationID", pickup_hour, demand, calendar_month, day_of_week, hour,
     zone_mean_demand, zone_hour_mean, zone_dow_hour_mean FROM history""")
 def _(t):

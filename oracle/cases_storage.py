@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hailgrid.fixed import FACT_MEASURES, PROFILE_MODEL
+from hailgrid.functions.calendar import shift_month
 from hailgrid.models import evaluation as e
 from hailgrid.models import historical as hist
 from hailgrid.models.future import forecast_metadata, future_profiles
-from hailgrid.plans import refresh
+from hailgrid.plans import ingestion, refresh
 from hailgrid.sinks import writers as w
 from hailgrid.sinks.snapshots import read_snapshot, snapshot_replace
 from hailgrid.sources.readers import scan_metrics_csv
@@ -23,6 +24,7 @@ from hailgrid.streaming.hourly import (
     stream_hourly_demand,
     write_hourly_changes,
 )
+from hailgrid.streaming.ledger import RunLedger
 from hailgrid.streaming.months import stream_month_increment
 from oracle.cases_models import BOTH, MAE, RMSE, full_run, rounded_errors, two_models
 from oracle.cases_trips import TRIP_SUMMARY, trip_summary
@@ -178,6 +180,43 @@ def _(t):
     return read_hourly_changes(t.spark, log)
 
 
+@check(
+    "month_run_ledger",
+    """WITH m AS (SELECT date_trunc('month', pickup_hour) AS month, COUNT(*) AS row_count FROM monthly_demand GROUP BY 1),
+    numbered AS (SELECT *, row_number() OVER (ORDER BY month DESC) AS back FROM m)
+    SELECT strftime(month, '%Y-%m-%d') AS month, 'SUCCESS' AS status,
+        CAST(CASE back WHEN 4 THEN 3 WHEN 2 THEN 2 ELSE 1 END AS INT) AS attempt, row_count,
+        'month-' || strftime(month, '%Y-%m') AS source_file, CAST(NULL AS VARCHAR) AS error_message
+    FROM numbered WHERE back <= 5""",
+)
+def _(t):
+    """A backfill over the last five months that fails once, is killed twice, and each time goes on where it stopped."""
+    root, now = t.folder("ledger"), [0.0]
+    months = t.monthly_demand.select(F.trunc("pickup_hour", "month").alias("m")).distinct().orderBy(F.desc("m")).limit(5)
+    last = sorted((r["m"].year, r["m"].month) for r in months.collect())
+    runs = RunLedger(t.spark, f"{root}/log", lease=60, clock=lambda: now[0])
+
+    def build(run):
+        if run.month == last[1] and run.attempt == 1:
+            raise OSError("the disk is full")
+        span = (F.year("pickup_hour") == run.month[0]) & (F.month("pickup_hour") == run.month[1])
+        path = f"{root}/demand/{run.month[0]}-{run.month[1]:02d}"
+        w.sink_overwrite(t.monthly_demand.where(span), path)
+        return t.spark.read.parquet(path).count()
+
+    source = lambda month: f"month-{month[0]}-{month[1]:02d}"
+    try:
+        ingestion.run_backfill(runs, source, build, shift_month(*last[0], -1), last=last[-1])
+    except OSError:
+        runs.start(last[1], source(last[1]))  # the next runner is killed
+    now[0] += 61
+    ingestion.run_backfill(runs, source, build, shift_month(*last[0], -1), last=last[2])
+    runs.start(last[3], source(last[3]))
+    now[0] += 61
+    ingestion.run_backfill(runs, source, build, shift_month(*last[0], -1), last=last[-1])
+    return runs.state().select(F.col("month").cast("string").alias("month"), "status", "attempt", "row_count", "source_file", "error_message")
+
+
 @check("stream_month_increment", "SELECT * FROM hourly")
 def _(t):
     raw, root, checkpoint = t.folder("month-raw"), t.folder("months"), t.folder("checkpoint")

@@ -24,9 +24,11 @@ TEXTS: dict[str, str] = {
     "zone_kpis": "peak_date",
     "revenue_over_time": "pickup_date",
     "month_partials": "calendar_month",
+    "profile_store_partials": "calendar_month",
     "month_partials_zone": "calendar_month",
     "month_partials_zone_hour": "calendar_month",
     "expanding_profiles": "calendar_month",
+    "profile_store_expanding": "calendar_month",
     "join_profiles": "calendar_month",
     "historical_profile_features": "calendar_month",
     "dropna_subset": "calendar_month",
