@@ -1,29 +1,30 @@
-"""Removal of repeated runs of lines, cut where their content says.
-
-A text is cut into chunks of lines: a rolling hash over the hashes of the last ``WINDOW`` lines ends a
-chunk when it is a multiple of ``DIVISOR``, once the chunk has ``LEAST`` lines; ``MOST`` lines end it anyhow.
-Lines put in or taken out move borders only near by, so a shared passage falls into the same chunks in
-every text. A chunk of two lines or more that occurs before, in a smaller document or further up in the
-same one, is removed; its first occurrence stays. Chunks with equal hashes are compared byte by byte with
-the first occurrence before anything goes.
-
-Borders by a rolling hash miss what is short: the first and the last chunk of a shared passage mix in foreign
-lines. With ``whole`` every window of two lines is looked up over all documents, and borders are where a run of
-repeated windows begins or ends: a line goes if it and a neighbour are a pair of lines that occurs before, in a
-smaller document or further up in the same one without a line in common. So every run of two lines or more that
-occurs before goes in full, and the first occurrence of every line stays. ``op9_line_chunks`` and the pipeline
-ask for that.
-
-Only hashes are grouped over all documents. Texts are dealt out once by id: flagged chunks are stored with
-their text, joined with the first chunk of their hash and compared, and what is equal is cut out. A chunk in
-a third of all documents is counted before the shuffle; in the comparison its rows are a skewed join side,
-which adaptive execution splits.
+"""Removal of repeated runs of lines, found as chunks whose borders their content chooses.
+
+A text is cut into chunks of lines: a rolling hash runs over the hashes of ``WINDOW`` lines, and a chunk ends where
+it has a local minimum. A border thus depends on the four lines around it and on nothing else, and chunks that no
+end of the text touches have two lines at least. A shared passage has the same borders in every text, wherever it
+stands. A chunk of two lines or more that occurs before, in a smaller document or further up in the same one, is
+removed; its first occurrence stays. Chunks with equal hashes are compared byte by byte with the first occurrence
+before anything goes.
+
+The first and the last chunk of a shared passage mix in foreign lines. With ``whole`` the hits are therefore
+widened: every window of two lines that no repeated chunk covers, so those of chunks that are the first or the
+only ones of their kind and those across borders, is looked up as well, and a line goes if it and a neighbour are
+a pair of lines that occurs before, without a line in common. So every run of two lines or more that occurs before
+goes in full, and the first occurrence of every line stays. Texts and passages that occur many times cost a row
+per chunk; only what is left costs a row per line. ``op9_line_chunks`` and the pipeline ask for that.
+
+Only hashes are grouped over all documents. Texts are dealt out by id twice: flagged chunks and pairs are stored
+with their text, joined with the first one of their hash and compared, and what is equal is cut out. A chunk in a
+third of all documents is counted before the shuffle; in the comparison its rows are a skewed join side, which
+adaptive execution splits.
 
 Rules: a null text stays null and has no lines; an empty one has one empty line. Null ids count as smaller
 than all others. Rows with the same id and the same text count as one document, each is returned; rows
 with the same id and other texts are ordered by a hash. A chunk whose bytes differ from the first chunk of
-its hash stays. Other columns are kept; the columns in ``MADE`` replace any of these names. A document that
-loses all its lines stays with an empty text. Empty tables give no rows.
+its hash stays, whole. Other columns are kept; the columns in ``MADE`` replace any of these names, and columns of
+the operator's own get names that the input does not have. A document that loses all its lines stays with an empty
+text. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -37,16 +38,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hailgrid.llm.arrow import column, slices, trimmed
+from hailgrid.llm.ranges import fresh
 from hailgrid.llm.rolling import mixed, runs
 
-WINDOW, DIVISOR, LEAST, MOST = 2, 3, 2, 64
+#: Lines under the rolling hash.
+WINDOW = 2
 MADE = ("n_lines", "n_removed")
 
 _FOUND = "doc_id long, mark long, place int, hash long"
 _FOUND_SCHEMA = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("place", pa.int32()), ("hash", pa.int64())])
-_TEXTS = "mark long, place int, hash long, chunk string, is_first boolean"
+_FLAGS = "array<struct<kind:int,place:int,hash:bigint,is_first:boolean>>"
+#: Kinds of flags: a chunk, whose place is its number, or a pair, whose place is its first line.
+CHUNK, PAIR = 0, 1
+_TEXTS = "mark long, kind int, place int, hash long, piece string, is_first boolean"
 _TEXTS_SCHEMA = pa.schema([
-    ("mark", pa.int64()), ("place", pa.int32()), ("hash", pa.int64()), ("chunk", pa.string()), ("is_first", pa.bool_()),
+    ("mark", pa.int64()), ("kind", pa.int32()), ("place", pa.int32()), ("hash", pa.int64()), ("piece", pa.string()),
+    ("is_first", pa.bool_()),
 ])
 
 
@@ -54,23 +61,19 @@ def _line_hash(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass"))
 
 
+def line_hashes(lines: list[str]) -> np.ndarray:
+    return np.fromiter((_line_hash(x) for x in lines), np.uint64, len(lines))
+
+
+def cuts(hashes: np.ndarray) -> list[int]:
+    """Where chunks of lines with these hashes end, the end of the text included."""
+    rolled = mixed(runs(hashes, WINDOW))  # of lines i and i + 1
+    lowest = (rolled[1:-1] < rolled[2:]) & (rolled[1:-1] <= rolled[:-2])
+    return [*(np.flatnonzero(lowest) + 1 + WINDOW).tolist(), len(hashes)]
+
+
 def borders(lines: list[str]) -> list[int]:
-    """Where chunks end, the end of the text included."""
-    n = len(lines)
-    if n <= LEAST:
-        return [n]
-    hashes = np.fromiter((_line_hash(x) for x in lines), np.uint64, n)
-    rolled = mixed(runs(hashes, WINDOW))  # ends at line WINDOW - 1 and on
-    cuts = (np.flatnonzero(rolled % np.uint64(DIVISOR) == 0) + WINDOW).tolist()
-    ends, start = [], 0
-    for cut in [*cuts, n]:
-        while cut - start > MOST:
-            start += MOST
-            ends.append(start)
-        if cut - start >= LEAST and cut < n:
-            ends.append(cut)
-            start = cut
-    return [*ends, n] if start < n else ends
+    return cuts(line_hashes(lines))
 
 
 def chunks(text: str) -> list[str]:
@@ -99,103 +102,117 @@ def _multi_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @trimmed
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of all windows of two lines."""
+    """Hashes of the windows of two lines that no repeated chunk covers."""
     for batch in slices(batches):
         ids, marks, places, hashes = [], [], [], []
-        for one, mark, text in zip(*(column(batch, x) for x in ("doc_id", "mark", "text"))):
-            if text is not None and "\n" in text:
-                lines = text.split("\n")
-                each = np.fromiter((_line_hash(x) for x in lines), np.uint64, len(lines))
-                n = len(lines) - 1
-                ids += [one] * n
-                marks += [mark] * n
-                places.append(np.arange(n, dtype=np.int32))
-                hashes.append(mixed(runs(each, 2)).view(np.int64))
+        for one, mark, text, flags in zip(*(column(batch, x) for x in ("doc_id", "mark", "text", "flags"))):
+            if text is None or "\n" not in text:
+                continue
+            each = line_hashes(text.split("\n"))
+            left = np.ones(len(each) - 1, bool)
+            again = [x["place"] for x in flags or () if not x["is_first"]]
+            if again:
+                ends = [0, *cuts(each)]
+                for place in again:
+                    left[ends[place] : ends[place + 1] - 1] = False
+            at = np.flatnonzero(left).astype(np.int32)
+            ids += [one] * len(at)
+            marks += [mark] * len(at)
+            places.append(at)
+            hashes.append(mixed(runs(each, 2))[left].view(np.int64))
         if ids:
             made = [ids, marks, np.concatenate(places), np.concatenate(hashes)]
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(made, _FOUND_SCHEMA)], schema=_FOUND_SCHEMA)
 
 
-def _flagged_texts(whole: bool):
-    @trimmed
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            out = []
-            for mark, text, flags in zip(*(column(batch, x) for x in ("mark", "text", "flags"))):
-                lines = text.split("\n") if whole else None
-                pieces = None if whole else chunks(text)
-                for x in flags:
-                    at = x["place"]
-                    piece = "\n".join(lines[at : at + 2]) if whole else pieces[at]
-                    out.append((mark, at, x["hash"], piece, x["is_first"]))
-            arrays = [pa.array([x[i] for x in out], f.type) for i, f in enumerate(_TEXTS_SCHEMA)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=_TEXTS_SCHEMA)
-
-    return work
-
-
-def _cut(names: list[str], text: str, whole: bool):
+@trimmed
+def _flagged_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text of every flagged chunk and pair."""
+    for batch in slices(batches):
+        out = []
+        for mark, text, flags in zip(*(column(batch, x) for x in ("mark", "text", "flags"))):
+            lines = text.split("\n")
+            ends = [0, *borders(lines)]
+            for x in flags:
+                at = x["place"]
+                some = lines[ends[at] : ends[at + 1]] if x["kind"] == CHUNK else lines[at : at + 2]
+                out.append((mark, x["kind"], at, x["hash"], "\n".join(some), x["is_first"]))
+        arrays = [pa.array([x[i] for x in out], f.type) for i, f in enumerate(_TEXTS_SCHEMA)]
+        yield pa.RecordBatch.from_arrays(arrays, schema=_TEXTS_SCHEMA)
+
+
+def _cut(names: list[str], text: str, gone_name: str):
     @trimmed
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            texts, lines, removed = [], [], []
-            for value, gone in zip(column(batch, text), column(batch, "__gone")):
-                lines.append(0 if value is None else value.count("\n") + 1)
+            texts, n_lines, removed = [], [], []
+            for value, gone in zip(column(batch, text), column(batch, gone_name)):
+                n_lines.append(0 if value is None else value.count("\n") + 1)
+                dropped = 0
                 if gone:
-                    kept, dropped, gone = [], 0, set(gone) | {x + 1 for x in gone} if whole else set(gone)
-                    for place, piece in enumerate(value.split("\n") if whole else chunks(value)):
-                        if place in gone:
-                            dropped += piece.count("\n") + 1
-                        else:
-                            kept.append(piece)
-                    value = "\n".join(kept)
-                    removed.append(dropped)
-                else:
-                    removed.append(0)
+                    lines = value.split("\n")
+                    stay = np.ones(len(lines), bool)
+                    ends = [0, *borders(lines)]
+                    for x in gone:
+                        at = x["place"]
+                        first, last = (ends[at], ends[at + 1]) if x["kind"] == CHUNK else (at, at + 2)
+                        stay[first:last] = False
+                    dropped = int((~stay).sum())
+                    value = "\n".join([line for line, keep in zip(lines, stay) if keep])
+                removed.append(dropped)
                 texts.append(value)
-            made = {text: pa.array(texts, pa.string()), "n_lines": pa.array(lines, pa.int64()), "n_removed": pa.array(removed, pa.int64())}
+            made = {text: pa.array(texts, pa.string()), "n_lines": pa.array(n_lines, pa.int64()), "n_removed": pa.array(removed, pa.int64())}
             arrays = [made[x] if x in made else batch.column(batch.schema.get_field_index(x)) for x in names]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return work
 
 
+_ORDER = ("doc_id", "mark", "place")
+
+
+def _flags(found: DataFrame, kind: int) -> DataFrame:
+    """Per document the chunks or pairs whose hash occurs more than once. First ones are flagged as such."""
+    order = F.struct(*_ORDER)
+    repeated = found.groupBy("hash").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    both = found.join(repeated, "hash")
+    if kind == PAIR:  # a pair that shares a line with the first one is no repeat of it
+        own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
+        both = both.where(~(own & (F.col("place") == F.col("first.place") + 1)))
+    first = order.eqNullSafe(F.col("first")).alias("is_first")
+    flags = both.select("mark", F.struct(F.lit(kind).alias("kind"), "place", "hash", first).alias("flag"))
+    return flags.groupBy("mark").agg(F.collect_set("flag").cast(_FLAGS).alias("flags"))
+
+
 def remove(rows: DataFrame, folder: str, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """``rows`` with repeated chunks cut out of ``text``, and how many lines there were and went.
 
-    ``whole``: borders are those of the repeated runs themselves, so none of them stays in part.
+    ``whole``: hits are widened to whole repeated runs, so none of them stays in part.
     """
     spark = rows.sparkSession
     kept = [c for c in rows.columns if c.lower() not in MADE]
     rows = rows.select(*kept).withColumn(text, F.col(text).cast("string"))
+    own_mark, own_gone = fresh(kept, "mark"), fresh(kept, "gone")
     mark = F.xxhash64(F.col(key), F.col(text))
-    marked = rows.withColumn("__mark", mark)
-    light = marked.select(F.col(key).cast("long").alias("doc_id"), F.col("__mark").alias("mark"), F.col(text).alias("text"))
-
-    found = light.mapInArrow(_pairs if whole else _multi_line, _FOUND)
-    order = F.struct("doc_id", "mark", "place")
-    repeated = found.groupBy("hash").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    both = found.join(repeated, "hash")
-    if whole:  # a pair that shares a line with the first one is no repeat of it
-        own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
-        both = both.where(~(own & (F.col("place") == F.col("first.place") + 1)))
-    flags = both.select(
-        "mark", F.struct("place", "hash", order.eqNullSafe(F.col("first")).alias("is_first")).alias("flag")
-    )
-    # A document has as many flags as repeated chunks or pairs.
-    flags = flags.groupBy("mark").agg(F.collect_set("flag").alias("flags")).withColumnRenamed("mark", "__mark")
-    # The same exchange of whole rows serves this join and the last one.
-    flagged = marked.join(flags, "__mark").select(F.col("__mark").alias("mark"), F.col(text).alias("text"), "flags")
-    flagged.mapInArrow(_flagged_texts(whole), _TEXTS).write.mode("overwrite").parquet(folder)
+    light = rows.select(F.col(key).cast("long").alias("doc_id"), mark.alias("mark"), F.col(text).alias("text"))
+
+    flags = _flags(light.mapInArrow(_multi_line, _FOUND), CHUNK)
+    if whole:
+        # A document's flags are as many as its repeated chunks. Both joins deal out the same columns alike.
+        left = light.join(flags, "mark", "left").mapInArrow(_pairs, _FOUND)
+        both = flags.unionByName(_flags(left, PAIR))
+        flags = both.groupBy("mark").agg(F.flatten(F.collect_list("flags")).alias("flags"))
+    flagged = light.join(flags, "mark").mapInArrow(_flagged_texts, _TEXTS)
+    flagged.write.mode("overwrite").parquet(folder)
     texts = spark.read.schema(_TEXTS).parquet(folder)
     # A row that occurs twice stores its first chunk twice.
-    first = texts.where("is_first").select("hash", F.col("chunk").alias("first_chunk")).dropDuplicates(["hash"])
-    equal = texts.where("not is_first").join(first, "hash").where("chunk = first_chunk")
-    gone = equal.groupBy(F.col("mark").alias("__mark")).agg(F.collect_set("place").alias("__gone"))
-    joined = marked.join(gone, "__mark", "left").drop("__mark")
+    first = texts.where("is_first").select("kind", "hash", F.col("piece").alias("first_piece")).dropDuplicates(["kind", "hash"])
+    equal = texts.where("not is_first").join(first, ["kind", "hash"]).where("piece = first_piece")
+    gone = equal.groupBy(F.col("mark").alias(own_mark)).agg(F.collect_set(F.struct("kind", "place")).alias(own_gone))
+    joined = rows.withColumn(own_mark, mark).join(gone, own_mark, "left").drop(own_mark)
     names = [*kept, *MADE]
     schema = rows.select(*kept).schema.add("n_lines", "long").add("n_removed", "long")
-    return joined.mapInArrow(_cut(names, text, whole), schema)
+    return joined.mapInArrow(_cut(names, text, own_gone), schema)
 
 
 def digests(cleaned: DataFrame) -> DataFrame:

@@ -133,6 +133,56 @@ def test_chunks_are_lossless_and_resist_shifts():
         assert "\n".join(line_chunks.chunks(odd)) == odd
 
 
+def test_a_shifted_passage_keeps_its_borders():
+    passage = [f"line {i * i}" for i in range(100)]
+    inner = set(line_chunks.chunks("\n".join(passage))[1:-1])
+    for before, after in ((1, 0), (0, 3), (7, 7)):
+        lines = [*[f"b{i}" for i in range(before)], *passage, *[f"a{i}" for i in range(after)]]
+        found = line_chunks.chunks("\n".join(lines))
+        assert inner <= set(found)
+        assert all("\n" in piece for piece in found[:-1])  # only what the end of a text cuts may be one line
+
+
+def _no_pairs():
+    def work(batches):
+        yield from ()
+
+    return work
+
+
+def test_the_query_finds_chunks_and_widens_them(spark, folder, monkeypatch):
+    lines = [f"line {i * i}" for i in range(60)]
+    rows = [(0, "\n".join(lines))] + [(i, "\n".join([f"a{i}", *lines, f"b{i}"])) for i in range(1, 5)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+
+    def removed():
+        return {r.doc_id: r.n_removed for r in QUERIES["op9_line_chunks"](spark, folder).collect()}
+
+    assert removed() == {0: 0, 1: 60, 2: 60, 3: 60, 4: 60}
+    # Without the widening the chunks alone still go, all but what stands at the edges.
+    monkeypatch.setattr(line_chunks, "_pairs", _no_pairs())
+    alone = removed()
+    assert alone.pop(0) == 0 and all(50 <= n < 60 for n in alone.values())
+
+
+def test_covered_pairs_are_not_looked_up():
+    import pyarrow as pa
+
+    text = "\n".join(f"line {i}" for i in range(50))
+    ends = [0, *line_chunks.borders(text.split("\n"))]
+    flags = [{"kind": 0, "place": i, "hash": 1, "is_first": False} for i in range(len(ends) - 1)]
+    batch = pa.RecordBatch.from_pylist([{"doc_id": 1, "mark": 2, "text": text, "flags": flags}])
+    (found,) = line_chunks._pairs(iter([batch]))
+    assert found.column(2).to_pylist() == [end - 1 for end in ends[1:-1]]  # only pairs across borders
+
+
+def test_columns_with_the_operators_names(spark, folder):
+    rows = [(1, "a\nb", "m", "g", "__m"), (2, "c\na\nb", "n", "h", "__n")]
+    given = spark.createDataFrame(rows, "doc_id long, text string, mark string, gone string, __mark string")
+    got = sorted(map(tuple, line_chunks.remove(given, folder, whole=True).collect()))
+    assert got == [(1, "a\nb", "m", "g", "__m", 2, 0), (2, "c", "n", "h", "__n", 3, 2)]
+
+
 def test_equal_hashes_of_other_bytes_stay(documents, folder, monkeypatch):
     # Through the function that workers get by value, every chunk has one hash.
     monkeypatch.setattr(line_chunks, "_multi_line", _one_hash(line_chunks.chunks, line_chunks._FOUND_SCHEMA))
