@@ -1,8 +1,9 @@
 """Choosing and publishing the model that forecasts arbitrary future hours.
 
-The models see zone-hour demand, not trips: 8,760 rows per zone and year. The backtest loops
-over at most four months on the driver; every fit and every prediction is a Spark job, and one
-grouped aggregate per month measures all models.
+The models see zone-hour demand, not trips: 8,760 rows per zone and year. The linear candidate is
+fitted and measured for all months in one pass, from sums; for the others the backtest loops over
+at most four months on the driver, every fit and every prediction is a Spark job, and one grouped
+aggregate per month measures them.
 """
 
 from __future__ import annotations
@@ -31,12 +32,14 @@ from hailgrid.models.evaluation import (
     latest_k_months,
     profile_baseline,
 )
+from hailgrid.models.linear_sums import linear_backtest
 from hailgrid.operators.profiles import (
     dropna_features,
     future_scoring_grid,
     historical_profile_features,
 )
 
+LINEAR_MODEL = "linear_regression"
 DETAIL_DDL = (
     "model STRING, test_month DATE, train_rows BIGINT, test_rows BIGINT, mae DOUBLE, rmse DOUBLE"
 )
@@ -56,7 +59,7 @@ def regressors(overrides: dict[str, dict] | None = None) -> dict[str, Estimator]
     changed = overrides or {}
     roles = {"featuresCol": "features", "labelCol": "demand", "predictionCol": "prediction"}
     kinds = {
-        "linear_regression": (LinearRegression, LINEAR_SETTINGS),
+        LINEAR_MODEL: (LinearRegression, LINEAR_SETTINGS),
         "random_forest": (RandomForestRegressor, FOREST_SETTINGS),
         "gradient_boosted_trees": (GBTRegressor, BOOSTED_SETTINGS),
     }
@@ -102,12 +105,16 @@ def rolling_backtest(
         "demand", F.col("demand").cast("double")
     )
     rows.persist(StorageLevel.MEMORY_AND_DISK)
+    penalty = _ridge_penalty(overrides)
     results = []
     try:
-        for month in backtest_months(rows, k):
+        months = backtest_months(rows, k)
+        if penalty is not None:  # all months at once, from sums
+            results += [(LINEAR_MODEL, *row) for row in linear_backtest(rows, months, penalty).collect()]
+        for month in months:
             results += [
                 (row["model"], month, row["train_rows"], row["test_rows"], row["mae"], row["rmse"])
-                for row in _backtest_month(rows, month, overrides).collect()  # one row per model
+                for row in _backtest_month(rows, month, overrides, penalty is None).collect()  # one row per model
             ]
     finally:
         rows.unpersist()
@@ -115,8 +122,16 @@ def rolling_backtest(
     return Backtest(detail, backtest_summary(detail))
 
 
-def _backtest_month(rows: DataFrame, month: date, overrides: dict[str, dict] | None) -> DataFrame:
-    """Errors of all models on one month. The zones are encoded once for all of them."""
+def _ridge_penalty(overrides: dict[str, dict] | None) -> float | None:
+    """The penalty of the linear candidate if sums can fit it: a ridge regression with Spark's other defaults."""
+    changed = (overrides or {}).get(LINEAR_MODEL, {})
+    settings = {**LINEAR_SETTINGS, **changed}
+    plain = settings["elasticNetParam"] == 0.0 < settings["regParam"] and set(changed) <= set(LINEAR_SETTINGS)
+    return settings["regParam"] if plain else None
+
+
+def _backtest_month(rows: DataFrame, month: date, overrides: dict[str, dict] | None, linear: bool) -> DataFrame:
+    """Errors of the models that are fitted on one month. The zones are encoded once for all of them."""
     train = rows.where(F.col("calendar_month") < F.lit(month))
     test = rows.where(F.col("calendar_month") == F.lit(month))
     encoder = Pipeline(stages=zone_encoding()).fit(train)
@@ -125,6 +140,8 @@ def _backtest_month(rows: DataFrame, month: date, overrides: dict[str, dict] | N
         train_rows = fit_rows.count()
         scored = profile_baseline(test).select(F.lit(PROFILE_MODEL).alias("model"), "demand", "prediction")
         for name, regressor in regressors(overrides).items():
+            if name == LINEAR_MODEL and not linear:
+                continue
             predicted = clipped(regressor.fit(fit_rows).transform(encoder.transform(test)))
             scored = scored.unionByName(
                 predicted.select(F.lit(name).alias("model"), "demand", "prediction")

@@ -13,11 +13,13 @@ from hailgrid.fixed import (
     BACKTEST_MONTHS,
     FUTURE_FEATURES,
     HISTORICAL_FEATURES,
+    LINEAR_SETTINGS,
     PROFILE_MODEL,
 )
 from hailgrid.models import evaluation as e
 from hailgrid.models import future as fut
 from hailgrid.models import historical as hist
+from hailgrid.models import linear_sums as sums
 from hailgrid.operators import profile_store as store
 from hailgrid.operators import profiles as p
 from hailgrid.operators.demand import complete_grid
@@ -339,6 +341,32 @@ def _(t):
     return f.feature_importance_ranked(full_run(t).importance)
 
 
+SUM_VALUES = ["1", *FUTURE_FEATURES, "demand"]
+
+
+# Sums of numbers of six digits may end in a tie, which a small shift keeps away from rounding.
+SHIFT = 0.00000003
+
+
+@check(
+    "backtest_sums",
+    f"""SELECT CAST(calendar_month AS VARCHAR) AS calendar_month, "LocationID",
+        {", ".join(f'ROUND(SUM(CAST({SUM_VALUES[i]} AS DOUBLE) * {SUM_VALUES[j]}) + {SHIFT}, 4) AS {sums.pair_name(i, j)}' for i, j in sums.PAIRS)}
+    FROM known_history GROUP BY calendar_month, "LocationID\"""",
+)
+def _(t):
+    rows = rounded(p.dropna_features(p.historical_profile_features(t.monthly_demand)))
+    found = sums.month_sums(rows).withColumn("calendar_month", F.col("calendar_month").cast("string"))
+    names = [sums.pair_name(*pair) for pair in sums.PAIRS]
+    return found.select("calendar_month", "LocationID", *[F.round(F.col(c) + SHIFT, 4).alias(c) for c in names])
+
+
+@check("linear_backtest")
+def _(t):
+    rows = p.dropna_features(p.historical_profile_features(t.monthly_demand))
+    return sums.linear_backtest(rows, fut.backtest_months(rows), LINEAR_SETTINGS["regParam"])
+
+
 @check("candidate_models")
 def _(t):
     rows = p.dropna_features(p.historical_profile_features(t.monthly_demand)).withColumn(
