@@ -16,7 +16,7 @@ unless all ids of the subtree are larger than that of the k-th, so ties go to th
 
 Rules: a vector that is null, or has null or non-finite components, takes no part, nor does one without an
 id; only vectors of one length are compared with each other. A query is not compared with rows of its own
-id. Rows with one id are candidates each; as queries each has its own ranks. Fewer than ``k`` candidates
+id. Rows with one id are candidates each; as queries each has its own ranks, equal rows too. Fewer than ``k`` candidates
 give fewer rows. Components must stay below 2**31 after scaling. Extra columns take no part. Empty tables
 give no rows.
 """
@@ -279,7 +279,10 @@ def top(
             types = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.float64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], names=names)
 
-    queries = held.where("asks").select("vec_id", "mark", "x")
+    # Equal query rows are searched for once, and answered once each.
+    queries = held.where("asks").groupBy("vec_id", "mark", "x").agg(F.count(F.lit(1)).alias("copies"))
+    copies = queries.where("copies > 1").select(F.col("vec_id").alias("query_id"), "mark", "copies")
+    queries = queries.select("vec_id", "mark", "x")
     blocks = max(1, -(-queries.count() // BLOCK))
     routed = queries.mapInArrow(route, "query_id long, mark long, x array<long>, least double, tree string")
     routed = routed.withColumn("block", F.pmod(F.xxhash64("mark"), F.lit(blocks)).cast("int"))
@@ -298,4 +301,6 @@ def top(
     found = pairs.applyInArrow(search, _FOUND)
     order = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    times = F.array_repeat(F.lit(0), F.coalesce("copies", F.lit(1)).cast("int"))
+    answers = ranked.join(copies, ["query_id", "mark"], "left").withColumn("copy", F.explode(times))
+    return answers.select("query_id", "rank", "vec_id", "score")

@@ -121,6 +121,13 @@ def ranked(vectors, every, k):
     return sorted(out)
 
 
+def test_equal_query_rows_are_answered_each(spark, folder):
+    vectors = [(0, [1.0, 0.0])] * 3 + [(0, [0.0, 1.0])] + [(i, [1.0 / i, float(i % 3)]) for i in range(1, 12)] + [(4, [0.25, 1.0])]
+    rows = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = mtree.top(rows, folder, F.col("vec_id") % 4 == 0)
+    assert sorted(map(tuple, got.collect())) == ranked(vectors, 4, 5)
+
+
 @pytest.mark.parametrize("tree,pivots", [(8192, 32), (40, 3)])
 def test_top_k_is_exact(spark, folder, tree, pivots):
     r = np.random.default_rng(3)
