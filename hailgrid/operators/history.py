@@ -1,8 +1,8 @@
 """Lag and rolling features over the complete zone-hour grid.
 
 Frames count rows, and on the complete grid a row is an hour. All features share one window
-specification, so Spark sorts once. A zone's partition holds one row per hour of the period
-(8,760 a year), whatever the number of trips behind it.
+specification, so Spark sorts once. A zone's history need not be one partition: it is cut into slices
+of time, and each slice gets the hours before it that its first rows look back to.
 """
 
 from __future__ import annotations
@@ -22,20 +22,47 @@ from hailgrid.functions.calendar import (
 from hailgrid.operators.demand import complete_grid
 
 
+#: Hours of a slice; with the hours before it a partition has 2,328 rows.
+SLICE_HOURS = 90 * 24
+
+
 def by_zone() -> WindowSpec:
     return Window.partitionBy("LocationID").orderBy("pickup_hour")
 
 
-def with_lags(grid: DataFrame) -> DataFrame:
+def by_slice() -> WindowSpec:
+    return Window.partitionBy("LocationID", "slice").orderBy("pickup_hour")
+
+
+def in_slices(grid: DataFrame, hours: int = SLICE_HOURS) -> DataFrame:
+    """The rows of a complete grid by slices of time; the last 168 hours of a slice also open the next one.
+
+    ``slice`` is where a row is put, ``own_slice`` where it belongs. ``without_halo`` drops the repeated rows.
+    """
+    if hours < HISTORY_HOURS:
+        raise ValueError(f"a slice must have {HISTORY_HOURS} hours at least")
+    hour = F.expr("timestampdiff(HOUR, TIMESTAMP_NTZ '1970-01-01 00:00:00', cast(pickup_hour AS TIMESTAMP_NTZ))")
+    own = F.floor(hour / hours)
+    opens_next = F.pmod(hour, F.lit(hours)) >= hours - HISTORY_HOURS
+    own_and_next = F.when(opens_next, F.array("own_slice", F.col("own_slice") + 1)).otherwise(F.array("own_slice"))
+    return grid.withColumn("own_slice", own).withColumn("slice", F.explode(own_and_next))
+
+
+def without_halo(rows: DataFrame) -> DataFrame:
+    return rows.where("slice = own_slice").drop("slice", "own_slice")
+
+
+def with_lags(grid: DataFrame, window: WindowSpec | None = None) -> DataFrame:
     """Demand 1, 24 and 168 hours earlier in the same zone."""
-    return grid.withColumns({f"lag_{n}h": F.lag("demand", n).over(by_zone()) for n in LAG_HOURS})
+    window = window or by_zone()
+    return grid.withColumns({f"lag_{n}h": F.lag("demand", n).over(window) for n in LAG_HOURS})
 
 
-def with_rolling(grid: DataFrame) -> DataFrame:
+def with_rolling(grid: DataFrame, window: WindowSpec | None = None) -> DataFrame:
     """Mean and row count of the previous 24 and 168 hours, without the current hour."""
     columns = {}
     for n in ROLLING_HOURS:
-        before = by_zone().rowsBetween(-n, -1)
+        before = (window or by_zone()).rowsBetween(-n, -1)
         columns[f"rolling_mean_{n}h"] = F.avg("demand").over(before)
         columns[f"history_count_{n}h"] = F.count("demand").over(before)
     return grid.withColumns(columns)
@@ -46,6 +73,12 @@ def demand_features(grid: DataFrame) -> DataFrame:
     return with_rolling(with_lags(with_time_features(grid)))
 
 
+def sliced_demand_features(grid: DataFrame, hours: int = SLICE_HOURS) -> DataFrame:
+    """``demand_features`` of a complete grid, with a partition per zone and slice instead of one per zone."""
+    rows = in_slices(with_time_features(grid), hours)
+    return without_halo(with_rolling(with_lags(rows, by_slice()), by_slice()))
+
+
 def month_grid_with_history(demand: DataFrame, zones: DataFrame, year: int, month: int) -> DataFrame:
     """The month's grid preceded by the previous month's last 168 hours.
 

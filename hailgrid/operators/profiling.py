@@ -28,6 +28,7 @@ from hailgrid.fixed import (
 )
 from hailgrid.functions.calendar import moment, seconds_between
 from hailgrid.functions.money import UNITS, exact_mean, exact_sum, units
+from hailgrid.operators.sampling import keyed_sample
 
 # Buckets of a value for each power of two: a bucket is 0.02 % wide.
 STEPS = 4096
@@ -515,5 +516,5 @@ def implausible_counts(rows: DataFrame) -> DataFrame:
 
 
 def sample_fraction(rows: DataFrame, fraction: float = 0.01, seed: int = 42) -> DataFrame:
-    """A sample without replacement, for drawing."""
-    return rows.select(*MONEY_COLUMNS).sample(False, fraction, seed)
+    """A sample without replacement, for drawing; the same rows however they are partitioned."""
+    return keyed_sample(rows.select(*MONEY_COLUMNS), fraction, seed)

@@ -18,7 +18,7 @@ from hailgrid.functions.calendar import month_span, shift_month
 from hailgrid.operators.business import business_from_clean
 from hailgrid.operators.cleaning import clean_trips
 from hailgrid.operators.demand import SLOT, complete_grid, hourly_demand, zone_hour_daily
-from hailgrid.operators.history import demand_features, month_features
+from hailgrid.operators.history import month_features, sliced_demand_features
 from hailgrid.operators.star import (
     dim_date,
     dim_hour,
@@ -56,7 +56,7 @@ def refresh_period(
     sink_months(hourly_demand(clean), f"{root}/hourly_demand", "pickup_hour", True)
     demand = spark.read.parquet(f"{root}/hourly_demand").select(*SLOT, "demand")
     grid = complete_grid(demand, zones, str(start), str(end - timedelta(hours=1)))
-    sink_months(demand_features(grid), f"{root}/features", "pickup_hour", True)
+    sink_months(sliced_demand_features(grid), f"{root}/features", "pickup_hour", True)
     sink_months(business_from_clean(clean), f"{root}/business_trips", "pickup_date", True)
     features = spark.read.parquet(f"{root}/features")
     business = spark.read.parquet(f"{root}/business_trips")

@@ -99,6 +99,11 @@ def _(t):
     return rounded(h.with_rolling(t.grid))
 
 
+@check("demand_features_in_slices", "SELECT * FROM features")
+def _(t):
+    return rounded(h.sliced_demand_features(t.grid, 200))
+
+
 @check("demand_features", "SELECT * FROM features")
 def _(t):
     return rounded(h.demand_features(t.grid))

@@ -49,6 +49,7 @@ DOUBLES: dict[str, str] = {
     "distinct_rows": "DOLocationID passenger_count RatecodeID",
     "lag_features": "lag_1h lag_24h lag_168h",
     "demand_features": "lag_1h lag_24h lag_168h",
+    "demand_features_in_slices": "lag_1h lag_24h lag_168h",
     "fact_trips": "fare_amount total_amount tip_amount trip_distance tolls_amount "
     "congestion_surcharge airport_fee cbd_congestion_fee",
     "join_fact_payment": "fare_amount total_amount tip_amount trip_distance tolls_amount "
