@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hailgrid.llm.arrow import column, slices, trimmed
+from hailgrid.llm.ranges import fresh
 
 # Fixed value: the splitting rule of byte-level BPE files that say "use_regex".
 PIECES = regex.compile(
@@ -201,8 +202,9 @@ def _added(rows: DataFrame, source: str, path: str, names: tuple[str, ...], make
     kept = [c for c in rows.columns if c.lower() not in names]
     types = {"ids": "binary", "decoded": "string"}
     # The source goes along under a name of its own, so that a replaced column may be the source.
-    given = rows.select(*kept, F.col(source).alias("__source"))
-    schema = given.drop("__source").schema
+    own = fresh(kept, "source")
+    given = rows.select(*kept, F.col(source).alias(own))
+    schema = given.drop(own).schema
     for name in names:
         schema = schema.add(name, types[name])
 
@@ -211,7 +213,7 @@ def _added(rows: DataFrame, source: str, path: str, names: tuple[str, ...], make
         bpe = load(path)
         made_types = [pa.binary() if types[n] == "binary" else pa.string() for n in names]
         for batch in slices(batches):
-            made = [make(bpe, value) for value in column(batch, "__source")]
+            made = [make(bpe, value) for value in column(batch, own)]
             arrays = [batch.column(i) for i in range(len(kept))]
             arrays += [pa.array([m[i] for m in made], t) for i, t in enumerate(made_types)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *names])

@@ -110,12 +110,14 @@ def choose(
     """Rows that take part, with ``copies``: how many epochs hold the row."""
     own = [f"__{k}" for k in keys]
     kept = [c for c in rows.columns if c.lower() not in MADE]
+    # The row goes along as one value, so its columns may have any names.
     named = rows.select(
-        *kept,
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("__row"),
+        F.col(row_id).alias("__id"),
         *[name_of(k).alias(o) for k, o in zip(keys, own)],
         F.greatest(F.coalesce(tokens.cast("long"), F.lit(0)), F.lit(0)).alias("__tokens"),
     )
-    light = named.select(F.col(row_id).alias("__id"), *own, "__tokens")
+    light = named.drop("__row")
     leaves = light.groupBy(*own).agg(F.sum("__tokens").alias("available"))
     takes = budget(leaves, own, weights, fraction, max_epochs)
     takes = takes.withColumns({
@@ -137,12 +139,12 @@ def choose(
     sums = sums.where("__before <= __rest").select(
         *bucket, "__before", (F.col("__before") + F.col("__sum") > F.col("__rest")).alias("__cut")
     )
-    marked = placed(named.withColumn("__id", F.col(row_id))).join(sums, bucket, "left")
+    marked = placed(named).join(sums, bucket, "left")
     certain = marked.where("not coalesce(__cut, false)").withColumn("__in", F.col("__cut").isNotNull() & (F.col("__rest") > 0))
     within = Window.partitionBy(*bucket).orderBy("__order", "__id", "__tokens").rowsBetween(Window.unboundedPreceding, 0)
     edge = marked.where("__cut").withColumn("__in", F.col("__before") + F.sum("__tokens").over(within) <= F.col("__rest"))
     both = certain.unionByName(edge).withColumn("copies", (F.col("__whole") + F.col("__in").cast("long")).cast("long"))
-    return both.where("copies > 0").select(*kept, "copies")
+    return both.where("copies > 0").select("__row.*", "copies")
 
 
 def epochs(chosen: DataFrame) -> DataFrame:

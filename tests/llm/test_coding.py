@@ -36,6 +36,19 @@ def test_coder_gives_library_ids_and_texts(documents):
         assert row.decoded == BYTE_LIBRARY.decode(expected, skip_special_tokens=False) == (row.text or "")
 
 
+def test_columns_with_the_names_of_the_coder(spark):
+    rows = spark.createDataFrame([(1, "some text", "a", "b")], "doc_id long, text string, source string, __source string")
+    (row,) = bpe.encode_and_decode(rows, BYTES).collect()
+    assert (row.source, row["__source"], row.decoded) == ("a", "b", "some text")
+
+
+def test_other_tokenizer_files_are_refused():
+    with pytest.raises(ValueError):
+        bitplane.Words(BYTES)
+    with pytest.raises(ValueError):
+        bpe.Bpe(WORDS)
+
+
 def test_decode_alone_and_of_incomplete_bytes(spark):
     ids = library_ids(BYTE_LIBRARY, "😀")[:1]
     packed = np.array(ids, "<u4").tobytes()

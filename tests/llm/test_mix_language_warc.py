@@ -276,3 +276,11 @@ def test_dictionary_frames():
         assert [x[2] for x in warc.frames(data)] == texts
         with pytest.raises(ValueError):
             list(warc.frames(data[:-3]))
+
+
+def test_columns_with_the_names_of_the_mixture(spark):
+    rows = [(i, f"d{i % 2}", 10, f"own {i}", i, f"t{i}") for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, domain string, tokens int, __id string, __order int, __tokens string")
+    got = mixing.choose(frame, ["domain"], F.col("tokens"), {}, (1, 2))
+    assert got.columns == [*frame.columns, "copies"] and got.count() == 10
+    assert all((r["__id"], r["__order"], r["__tokens"]) == (f"own {r.doc_id}", r.doc_id, f"t{r.doc_id}") for r in got.collect())
