@@ -7,14 +7,13 @@ order, as backfills of monthly files do. There is no state between batches besid
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hailgrid.operators.cleaning import filter_chronological
 from hailgrid.operators.demand import SLOT, hourly_demand
-from hailgrid.sinks.snapshots import read_snapshot, snapshot_replace
+from hailgrid.sinks.snapshots import current_version, read_snapshot, snapshot_replace
 
 
 def stream_hourly_demand(trips: DataFrame) -> DataFrame:
@@ -40,21 +39,19 @@ def write_hourly_changes(trips: DataFrame, path: str, checkpoint: str, **trigger
     )
 
 
-def _summary(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
-    """The published summary, if there is one, and the last batch that it holds."""
-    try:
-        root = f"{path}/summaries"
-        last = read_snapshot(spark, root, "through").first()["batch_id"]
-        return read_snapshot(spark, root, "counts"), last
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None, -1
+def _summary(spark: SparkSession, path: str) -> tuple[DataFrame | None, int, int]:
+    """The published summary, if there is one, the last batch that it holds, and its version."""
+    root = f"{path}/summaries"
+    version = current_version(spark, root, missing=0)
+    if not version:
+        return None, -1, 0
+    last = read_snapshot(spark, root, "through", version).first()["batch_id"]
+    return read_snapshot(spark, root, "counts", version), last, version
 
 
 def read_hourly_changes(spark: SparkSession, path: str) -> DataFrame:
     """The count of every zone-hour: the summary and the batches after it, added up."""
-    summary, last = _summary(spark, path)
+    summary, last, _ = _summary(spark, path)
     counts = _batches(spark, path).where(F.col("batch_id") > last).select(*SLOT, "demand")
     if summary is not None:
         counts = counts.unionByName(summary)
@@ -71,6 +68,7 @@ def compact_hourly_changes(spark: SparkSession, path: str) -> None:
     Batches and summaries that it covers can be deleted afterwards, except for the newest batch.
     """
     newest = _batches(spark, path).agg(F.max("batch_id").alias("batch_id"))
-    if newest.first()["batch_id"] > _summary(spark, path)[1]:
+    _, last, version = _summary(spark, path)
+    if newest.first()["batch_id"] > last:
         tables = {"counts": read_hourly_changes(spark, path), "through": newest}
-        snapshot_replace(spark, f"{path}/summaries", tables)
+        snapshot_replace(spark, f"{path}/summaries", tables, expected=version)

@@ -351,14 +351,14 @@ SHIFT = 0.0000333333333
 @check(
     "backtest_sums",
     f"""SELECT CAST(calendar_month AS VARCHAR) AS calendar_month, "LocationID",
-        {", ".join(f'ROUND(SUM(CAST({SUM_VALUES[i]} AS DOUBLE) * {SUM_VALUES[j]}) + {SHIFT}, 2) AS {sums.pair_name(i, j)}' for i, j in sums.PAIRS)}
+        {", ".join(f'ROUND(SUM(CAST({SUM_VALUES[i]} AS DOUBLE) * {SUM_VALUES[j]}) + {SHIFT}, 2) + 0.0 AS {sums.pair_name(i, j)}' for i, j in sums.PAIRS)}
     FROM known_history GROUP BY calendar_month, "LocationID\"""",
 )
 def _(t):
     rows = rounded(p.dropna_features(p.historical_profile_features(t.monthly_demand)))
     found = sums.month_sums(rows).withColumn("calendar_month", F.col("calendar_month").cast("string"))
     names = [sums.pair_name(*pair) for pair in sums.PAIRS]
-    return found.select("calendar_month", "LocationID", *[F.round(F.col(c) + SHIFT, 2).alias(c) for c in names])
+    return found.select("calendar_month", "LocationID", *[(F.round(F.col(c) + SHIFT, 2) + 0.0).alias(c) for c in names])
 
 
 @check("linear_backtest")
