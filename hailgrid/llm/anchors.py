@@ -7,7 +7,7 @@ Every document is cut into non-overlapping blocks of ``BLOCK`` (7) words, the re
 of 2 * 7 - 1 words holds exactly one whole block of its document, so two equal windows meet when the
 rolling 7-word windows of one document probe the blocks of the other. Two exchanges do the work:
 
-1. Chunks (sets of documents by id hash) send the keys of their blocks, with the smallest document, and
+1. Chunks (sets of documents by a hash of id and text) send the keys of their blocks, with the smallest document, and
    of all their rolling windows, distinct and packed in about two bytes each, to buckets of the key
    space. A bucket answers with the keys that more than one chunk has, and the smallest document that
    has such a block. Keys of one chunk alone need no answer; the chunk compares its documents itself.
@@ -186,6 +186,16 @@ def _block_keys(chunk: _Chunk, count: int):
     return at, keys, aligned, blocks, smallest
 
 
+def dealt(docs: DataFrame, chunks: int) -> DataFrame:
+    """Rows with their mark, which tells a row from others with its id, and their chunk.
+
+    Chunks are dealt out by the mark, so that rows without an id, or all under one id, spread over them. What is
+    exchanged are smallest ids of keys; it doesn't matter which rows share a chunk.
+    """
+    mark = F.xxhash64("doc_id", "text")
+    return docs.withColumns({"chunk": F.pmod(mark, F.lit(chunks)).cast("int"), "mark": mark})
+
+
 def repeats(
     rows: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, spans: bool = False
 ) -> DataFrame:
@@ -194,9 +204,7 @@ def repeats(
     block = (window + 1) // 2
     count = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = rows.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    # The mark of a row tells it from others, also from a row with the same id and another text.
-    chunk, mark = F.pmod(F.xxhash64("doc_id"), F.lit(CHUNKS * count)).cast("int"), F.xxhash64("doc_id", "text")
-    chunked = docs.withColumns({"chunk": chunk, "mark": mark})
+    chunked = dealt(docs, CHUNKS * count)
 
     @trimmed
     def ask_blocks(table: pa.Table) -> pa.Table:
@@ -267,9 +275,7 @@ def repeats(
         gone |= whole[chunk.doc]
         return _span_rows(chunk, gone) if spans else _kept_rows(chunk, gone)
 
-    texts = docs.where("doc_id is not null").select(
-        "doc_id", F.sha2("text", 256).alias("digest"), chunk.alias("chunk"), mark.alias("mark")
-    )
+    texts = chunked.where("doc_id is not null").select("doc_id", F.sha2("text", 256).alias("digest"), "chunk", "mark")
     twins = texts.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     copies = texts.join(twins.where("n > 1").drop("n"), "digest").where("doc_id > first_id")
     # Eight bytes for each copy, gathered by chunk; a chunk has as many as it has documents.

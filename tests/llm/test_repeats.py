@@ -55,6 +55,15 @@ def test_a_passage_in_every_document(spark, documents):
     assert sorted(map(tuple, spans)) == [(i, 1, 30) for i in range(1, 300)]
 
 
+@pytest.mark.parametrize("shared", [None, 7])
+def test_rows_under_no_id_or_one_id_spread_over_chunks(spark, documents, shared):
+    rows = [(shared if i % 2 else 100 + i, f"text {i} " + f"a b{i % 3} c " * 8, "en", "s") for i in range(400)]
+    chunks = anchors.dealt(documents(rows).select("doc_id", "text"), 8).groupBy("chunk").count().collect()
+    assert len(chunks) == 8 and max(r["count"] for r in chunks) < 100
+    got = anchors.repeats(documents(rows))
+    assert order(tuple(r) for r in got.collect()) == order(removed_by_brute_force(rows))
+
+
 def test_line_chunks_go_after_their_first_occurrence(documents, folder):
     rows = corpus()
     given = documents(rows)
