@@ -154,7 +154,7 @@ def extreme_records(rows: DataFrame, column: str, threshold: float) -> DataFrame
 # --- Quantiles --------------------------------------------------------------------------
 
 
-def _bucket(value: Column) -> Column:
+def value_bucket(value: Column) -> Column:
     """A whole number that rises with the value: sign and ``STEPS`` steps per power of two."""
     steps = F.floor(F.log2(1 + F.abs(value) * 1024) * STEPS)
     return F.when(value < 0, -steps).otherwise(steps)
@@ -181,7 +181,7 @@ def quantile_table(rows: DataFrame, columns: dict[str, Column], probabilities: l
     """
     values = rows.select(*[value.cast("double").alias(name) for name, value in columns.items()])
     values = values.unpivot([], list(columns), "column_name", "value")
-    values = values.where(F.col("value").isNotNull() & ~F.isnan("value")).withColumn("coarse", _bucket(F.col("value")))
+    values = values.where(F.col("value").isNotNull() & ~F.isnan("value")).withColumn("coarse", value_bucket(F.col("value")))
     counts = values.groupBy("column_name", "coarse").agg(_rows().alias("n"))
     levels = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
     wanted = counts.groupBy("column_name").agg(F.sum("n").alias("known")).select("column_name", "known", levels)

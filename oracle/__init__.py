@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-CASES = ["trips", "demand", "revenue", "profiling", "models", "storage"]
+CASES = ["trips", "demand", "revenue", "profiling", "models", "storage", "summaries"]
 
 
 def all_checks():

@@ -36,6 +36,8 @@ TEXTS: dict[str, str] = {
     "profile_baseline": "calendar_month",
     "regression_metrics": "calendar_month",
     "sink_zone_hour_daily": "date",
+    "day_rank_summaries": "period",
+    "stored_rank_summaries": "period",
 }
 DOUBLES: dict[str, str] = {
     "clean_trips": "DOLocationID passenger_count RatecodeID",
