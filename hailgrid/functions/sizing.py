@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # The rows that are broadcast hold a few numbers, so a broadcast stays under about 100 MB.
 BROADCAST_ROWS = 1_000_000
@@ -12,8 +11,3 @@ BROADCAST_ROWS = 1_000_000
 def within(bound: DataFrame, max_rows: int) -> bool:
     """Whether ``bound`` holds at most ``max_rows`` rows (one narrow counting job)."""
     return max_rows > 0 and bound.count() <= max_rows
-
-
-def hinted(side: DataFrame, small: bool) -> DataFrame:
-    """Broadcast a side whose size was checked; otherwise leave the choice to the optimizer."""
-    return F.broadcast(side) if small else side

@@ -492,12 +492,12 @@ def _lookup_sql(requests: str) -> str:
     )
 
 
-def lookup(t, requests):
+def lookup(t, requests, **options):
     path = t.folder("profile")
     sink_overwrite(fut.future_profiles(t.monthly_demand).where(HOLES), path)
     profile = t.spark.read.parquet(path)
     cut = F.expr(f"TIMESTAMP_NTZ '{CUT}'")
-    return rounded(f.forecast_lookup_batch(requests, profile, cut, PROFILE_MODEL))
+    return rounded(f.forecast_lookup_batch(requests, profile, cut, PROFILE_MODEL, **options))
 
 
 @check("forecast_lookup_batch", _lookup_sql("requests"))
@@ -505,6 +505,26 @@ def _(t):
     return lookup(t, t.requests)
 
 
+# Every third request asks for one slot, and no zone is broadcast as a whole.
+CROWD = """SELECT request_id, CASE WHEN request_id % 3 = 0 THEN 1 ELSE location_id END AS location_id,
+    CASE WHEN request_id % 3 = 0 THEN TIMESTAMP '2001-05-07 09:00:00' ELSE forecast_datetime END
+      AS forecast_datetime FROM requests"""
+
+
+@check("forecast_lookup_crowded", _lookup_sql(f"({CROWD})"))
+def _(t):
+    third = F.col("request_id") % 3 == 0
+    crowded = t.requests.withColumns(
+        {
+            "location_id": F.when(third, 1).otherwise(F.col("location_id")),
+            "forecast_datetime": F.when(third, F.expr("TIMESTAMP_NTZ '2001-05-07 09:00:00'")).otherwise(
+                F.col("forecast_datetime")
+            ),
+        }
+    )
+    return lookup(t, crowded, broadcast_rows=0)
+
+
 # The same requests as instants in UTC, answered on New York clocks.
 @check(
     "forecast_lookup_zoned",
