@@ -16,6 +16,7 @@ from hailgrid.models import historical as hist
 from hailgrid.models.future import forecast_metadata, future_profiles
 from hailgrid.plans import ingestion, refresh
 from hailgrid.sinks import writers as w
+from hailgrid.sinks.keyed_table import KeyedTable
 from hailgrid.sinks.snapshots import read_snapshot, snapshot_replace
 from hailgrid.sources.readers import scan_metrics_csv
 from hailgrid.streaming.hourly import (
@@ -27,7 +28,7 @@ from hailgrid.streaming.hourly import (
 from hailgrid.streaming.ledger import RunLedger
 from hailgrid.streaming.months import stream_month_increment
 from oracle.cases_models import BOTH, MAE, RMSE, full_run, rounded_errors, two_models
-from oracle.cases_trips import TRIP_SUMMARY, trip_summary
+from oracle.cases_trips import TRIP_SUMMARY, UPSERT_KEY, trip_summary, upsert_sides, upsert_sql
 from oracle.registry import check
 
 
@@ -252,3 +253,26 @@ def _(t):
     ).awaitTermination()
     tables = [sums(t.spark.read.parquet(f"{root}/{n}"), n, c) for n, (_, c) in MONTH_TABLES.items()]
     return reduce(DataFrame.unionAll, tables)
+
+
+def updated_table(t, columns: list[str], update_columns=None) -> DataFrame:
+    target, updates = upsert_sides(t)
+    table = KeyedTable(t.spark, t.folder("keyed"), UPSERT_KEY, rows_per_file=1000)
+    table.create(target)
+    table.upsert(updates.select(columns), update_columns)
+    return table.read()
+
+
+@check("keyed_table_upsert", upsert_sql("n.demand, o.demand", "n.capacity, o.capacity"))
+def _(t):
+    return updated_table(t, [*UPSERT_KEY, "demand", "capacity"])
+
+
+@check("keyed_table_some_columns", upsert_sql("n.demand, o.demand", "o.capacity"))
+def _(t):
+    return updated_table(t, [*UPSERT_KEY, "demand"])
+
+
+@check("keyed_table_new_keys", upsert_sql("o.demand, n.demand", "o.capacity, n.capacity"))
+def _(t):
+    return updated_table(t, [*UPSERT_KEY, "demand", "capacity"], [])

@@ -319,7 +319,7 @@ def upsert_sides(t):
 UPSERT_KEY = ["location_id", "pickup_date", "hour"]
 
 
-def _upsert_sql(demand: str, capacity: str) -> str:
+def upsert_sql(demand: str, capacity: str) -> str:
     return f"""SELECT location_id, pickup_date, hour, COALESCE({demand}) AS demand,
     CAST(COALESCE({capacity}) AS BIGINT) AS capacity
     FROM (SELECT location_id, pickup_date, hour, demand, demand * 2 AS capacity
@@ -329,17 +329,17 @@ def _upsert_sql(demand: str, capacity: str) -> str:
     USING (location_id, pickup_date, hour)"""
 
 
-@check("upsert_by_key", _upsert_sql("n.demand, o.demand", "n.capacity, o.capacity"))
+@check("upsert_by_key", upsert_sql("n.demand, o.demand", "n.capacity, o.capacity"))
 def _(t):
     return upsert_by_key(*upsert_sides(t), UPSERT_KEY)
 
 
-@check("upsert_some_columns", _upsert_sql("n.demand, o.demand", "o.capacity, n.capacity"))
+@check("upsert_some_columns", upsert_sql("n.demand, o.demand", "o.capacity, n.capacity"))
 def _(t):
     return upsert_by_key(*upsert_sides(t), UPSERT_KEY, ["demand"])
 
 
-@check("insert_if_absent", _upsert_sql("o.demand, n.demand", "o.capacity, n.capacity"))
+@check("insert_if_absent", upsert_sql("o.demand, n.demand", "o.capacity, n.capacity"))
 def _(t):
     return upsert_by_key(*upsert_sides(t), UPSERT_KEY, [])
 

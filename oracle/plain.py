@@ -36,6 +36,9 @@ TEXTS: dict[str, str] = {
     "profile_baseline": "calendar_month",
     "regression_metrics": "calendar_month",
     "sink_zone_hour_daily": "date",
+    "keyed_table_upsert": "pickup_date",
+    "keyed_table_some_columns": "pickup_date",
+    "keyed_table_new_keys": "pickup_date",
     "day_rank_summaries": "period",
     "stored_rank_summaries": "period",
 }
