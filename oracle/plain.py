@@ -59,6 +59,7 @@ DOUBLES: dict[str, str] = {
     "congestion_surcharge airport_fee cbd_congestion_fee",
     "join_fact_payment": "fare_amount total_amount tip_amount trip_distance tolls_amount "
     "congestion_surcharge airport_fee cbd_congestion_fee",
+    "keyed_table_some_columns": "capacity",
     "duplicate_groups": "DOLocationID",
 }
 LISTS: dict[str, str] = {
