@@ -1,6 +1,8 @@
 from datetime import date, datetime, timedelta
+from threading import Barrier
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from hailgrid.fixed import HISTORICAL_MODEL, PERSISTENCE_MODEL, PROFILE_MODEL
@@ -135,3 +137,42 @@ def test_publishing_jobs(spark, demand, tmp_path):
     importance = read_snapshot(spark, f"{root}/historical_model", "historical_feature_importance")
     ranked = [r["importance"] for r in questions.feature_importance_ranked(importance).collect()]
     assert ranked == sorted(ranked, reverse=True)
+
+
+def test_folds_and_baseline_need_no_fit(spark, demand, monkeypatch):
+    """Sizes and the profile's errors are those of the whole backtest, whose fits they do not wait for."""
+    detail = fut.rolling_backtest(demand, TINY).detail
+    whole = {(r.model, r.test_month): (r.train_rows, r.test_rows) for r in detail.collect()}
+    baseline = {r.test_month: (r.mae, r.rmse) for r in detail.where(f"model = '{PROFILE_MODEL}'").collect()}
+    for kind in (fut.RandomForestRegressor, fut.GBTRegressor, fut.LinearRegression):
+        monkeypatch.setattr(kind, "fit", lambda *_: pytest.fail("a model was fitted"))
+    rows = fut.backtest_rows(demand).cache()
+    months = fut.backtest_months(rows)
+    assert {(r.model, r.test_month): (r.train_rows, r.test_rows) for r in fut.backtest_folds(rows, months).collect()} == whole
+    for row in fut.baseline_backtest(rows, months).collect():
+        assert (row.mae, row.rmse) == pytest.approx(baseline.pop(row.test_month), abs=1e-9)
+    assert not baseline
+    for month in months:
+        sizes = (rows.where(F.col("calendar_month") < F.lit(month)).count(), rows.where(F.col("calendar_month") == F.lit(month)).count())
+        assert sizes == whole[PROFILE_MODEL, month]
+
+
+def test_several_fits_run_at_once(demand, monkeypatch):
+    """Two fits must be under way together, or the barrier breaks."""
+    together, fit = Barrier(2, timeout=60), fut.GBTRegressor.fit
+
+    def waiting(*args):
+        together.wait()
+        return fit(*args)
+
+    monkeypatch.setattr(fut.GBTRegressor, "fit", waiting)
+    assert fut.rolling_backtest(demand, TINY, k=2).detail.count() == 8
+
+
+def test_remembered_nodes_change_no_tree(demand):
+    rows = fut.backtest_rows(demand)
+    train = Pipeline(stages=fut.zone_encoding()).fit(rows).transform(rows).cache()
+    forest = fut.regressors({"random_forest": {"numTrees": 5, "maxDepth": 4}})["random_forest"]
+    assert forest.getCacheNodeIds()
+    plain = forest.copy().setCacheNodeIds(False)
+    assert forest.fit(train).toDebugString.split("\n")[1:] == plain.fit(train).toDebugString.split("\n")[1:]
