@@ -58,7 +58,8 @@ def train_historical(features: DataFrame, **settings) -> HistoricalRun:
         featuresCol="features_vector",
         labelCol="demand",
         predictionCol="prediction",
-        **{**FOREST_SETTINGS, **settings},
+        # Trees remember which node each row has reached; without it rows descend anew from all roots at each level.
+        **{**FOREST_SETTINGS, "cacheNodeIds": True, **settings},
     )
     fit_rows = assemble_features(train).select("features_vector", "demand")
     fit_rows.persist(StorageLevel.MEMORY_AND_DISK)

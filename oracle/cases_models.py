@@ -278,12 +278,16 @@ def full_backtest(t):
 
 
 def demand_grid_features(t):
-    """Stored features of all months on the complete grid of the observed zones."""
-    span = t.monthly_demand.agg(
-        F.min("pickup_hour").alias("first"), F.max("pickup_hour").alias("last")
-    ).first()
-    zones = t.monthly_demand.select("LocationID").distinct()
-    grid = complete_grid(t.monthly_demand, zones, str(span["first"]), str(span["last"]))
+    """Stored features of all months on the complete grid of the observed zones.
+
+    The demand is counted once and stored: span, zones and grid read the counts, not the rows behind them.
+    """
+    counted = t.folder("demand")
+    sink_overwrite(t.monthly_demand, counted)
+    demand = t.spark.read.parquet(counted)
+    span = demand.agg(F.min("pickup_hour").alias("first"), F.max("pickup_hour").alias("last")).first()
+    zones = demand.select("LocationID").distinct()
+    grid = complete_grid(demand, zones, str(span["first"]), str(span["last"]))
     root = t.folder("features")
     sink_months(demand_features(grid), root, "pickup_hour")
     return t.spark.read.parquet(root)

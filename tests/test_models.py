@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from hailgrid.fixed import HISTORICAL_MODEL, PERSISTENCE_MODEL, PROFILE_MODEL
+from hailgrid.functions.storage import new_folder
 from hailgrid.models import future as fut
 from hailgrid.models import historical as hist
 from hailgrid.models.evaluation import error_measures, winner_name
@@ -16,6 +17,7 @@ from hailgrid.operators.profiles import dropna_features, historical_profile_feat
 from hailgrid.plans import forecast_queries as questions
 from hailgrid.plans import publish
 from hailgrid.sinks.snapshots import read_snapshot
+from oracle.cases_models import demand_grid_features
 from tests.rows import demand_frame, zones_frame
 
 TINY = {
@@ -176,3 +178,21 @@ def test_remembered_nodes_change_no_tree(demand):
     assert forest.getCacheNodeIds()
     plain = forest.copy().setCacheNodeIds(False)
     assert forest.fit(train).toDebugString.split("\n")[1:] == plain.fit(train).toDebugString.split("\n")[1:]
+
+
+def test_grid_of_all_months_counts_demand_once(spark, demand, monkeypatch):
+    """Trips are counted into demand once; the forest remembers the nodes of rows."""
+    uses = []
+
+    class Given:
+        folder = staticmethod(lambda label: new_folder(spark, label))
+        monthly_demand = property(lambda self: uses.append(1) or demand.where("month(pickup_hour) <= 2"))
+
+    given = Given()
+    given.spark = spark
+    assert demand_grid_features(given).count() == 2 * (59 * 24 + 22) and len(uses) == 1
+    seen = []
+    monkeypatch.setattr(hist.RandomForestRegressor, "fit", lambda self, rows: seen.append(self.getCacheNodeIds()) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        hist.train_historical(demand_features(complete_grid(demand, zones_frame(spark, 1, 2), "2024-04-01 00:00:00", "2024-06-28 23:00:00")))
+    assert seen == [True]
