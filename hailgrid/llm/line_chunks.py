@@ -195,6 +195,7 @@ def remove(rows: DataFrame, folder: str, key: str = "doc_id", text: str = "text"
     own_mark, own_gone = fresh(kept, "mark"), fresh(kept, "gone")
     mark = F.xxhash64(F.col(key), F.col(text))
     light = rows.select(F.col(key).cast("long").alias("doc_id"), mark.alias("mark"), F.col(text).alias("text"))
+    light = light.where(F.contains("text", F.lit("\n")))  # a single line is no run, and its text need not move
 
     flags = _flags(light.mapInArrow(_multi_line, _FOUND), CHUNK)
     if whole:

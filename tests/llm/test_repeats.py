@@ -301,3 +301,26 @@ def test_empty_tables(documents, folder):
     blank = documents([(1, None, None, None), (2, "", None, None), (3, " \n ", None, None)])
     assert sorted(map(tuple, ngram_join.join(blank, f"{folder}/c").collect())) == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
     assert sorted(map(tuple, anchors.repeats(blank).collect())) == [(1, 0, 0, ""), (2, 0, 0, ""), (3, 0, 0, "")]
+
+
+def _only_lines(work):
+    def watched(batches):
+        def seen():
+            for batch in batches:
+                assert all("\n" in text for text in batch.column(batch.schema.get_field_index("text")).to_pylist())
+                yield batch
+
+        yield from work(seen())
+
+    return watched
+
+
+def test_texts_of_one_line_are_not_dealt_out(spark, folder, monkeypatch):
+    """They hold no run; only the last join sends them on, unchanged."""
+    rows = [(1, "a\nb"), (2, "x\na\nb"), (3, "alone"), (4, "alone"), (5, ""), (6, None), (7, "\n"), (8, "z\n\n")]
+    data = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(line_chunks, "_pairs", _only_lines(line_chunks._pairs))
+    got = line_chunks.remove(data, f"{folder}/pieces", whole=True).collect()
+    expected = {1: ("a\nb", 2, 0), 2: ("x", 3, 2), 3: ("alone", 1, 0), 4: ("alone", 1, 0), 5: ("", 1, 0), 6: (None, 0, 0)}
+    expected |= {7: ("\n", 2, 0), 8: ("z", 3, 2)}
+    assert {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in got} == expected
