@@ -9,8 +9,9 @@ Summaries are merged by putting their rows together: nothing is compressed again
 and a rebuilt period replaces its own summary. The errors of the periods add up to at most the sum of ``step - 1``,
 which is less than a share of ``1 / parts`` of all rows.
 
-Values are counted before they are ordered, and ordered within narrow buckets: neither a frequent value nor a long
-period gathers in a task.
+Rows are counted in narrow buckets of the value first; only of buckets in which the count passes a multiple of
+``step``, or that hold the largest value, are values counted and ordered. These are at most ``parts + 1`` for a period
+and column. Neither a frequent value nor a long period gathers in a task.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ from hailgrid.sinks.writers import sink_month, sink_months
 
 PARTS = 1000
 UNITS_OF_TIME = ("month", "day")
+#: Periods in twenty years. If the buckets that hold kept values of so many are few, they are broadcast.
+LONG_SPAN = {"month": 240, "day": 7305}
+BROADCAST_BUCKETS = 1_000_000
 _SERIES = ["period", "column_name"]
 
 
@@ -46,20 +50,21 @@ def period_summaries(
     )
     values = values.unpivot(["period"], list(columns), "column_name", "value")
     values = values.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    series = Window.partitionBy(*_SERIES)
+    buckets = values.groupBy(*_SERIES, value_bucket(F.col("value")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    buckets = buckets.select(
+        *_SERIES, "bucket", "n", F.sum("n").over(series).alias("known"), _before("bucket", of=_SERIES, what="n").alias("below")
+    ).withColumn("step", F.greatest(F.lit(1).cast("bigint"), F.expr(f"known div {parts}")))
+    held = buckets.where("(below + n) div step > below div step OR below + n = known").drop("n")
+
+    # Values of other buckets are not kept, so they need not be counted.
+    keys = [*_SERIES, "bucket"]
+    if LONG_SPAN[unit] * len(columns) * (parts + 1) <= BROADCAST_BUCKETS:
+        some = values.withColumn("bucket", value_bucket(F.col("value")))
+        values = some.join(F.broadcast(held.select(*keys)), keys, "left_semi").drop("bucket")
     counts = values.groupBy(*_SERIES, "value").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.withColumn("bucket", value_bucket(F.col("value")))
-
-    buckets = counts.groupBy(*_SERIES, "bucket").agg(F.sum("n").alias("n"))
-    known = F.sum("n").over(Window.partitionBy(*_SERIES))
-    buckets = buckets.select(
-        *_SERIES, "bucket", known.alias("known"), _before("bucket", of=_SERIES, what="n").alias("below")
-    )
-    placed = counts.join(buckets, [*_SERIES, "bucket"]).withColumns(
-        {
-            "before": F.col("below") + _before("value", of=[*_SERIES, "bucket"], what="n"),
-            "step": F.greatest(F.lit(1).cast("bigint"), F.expr(f"known div {parts}")),
-        }
-    )
+    placed = counts.join(held, keys).withColumn("before", F.col("below") + _before("value", of=keys, what="n"))
     placed = placed.withColumn("through", F.col("before") + F.col("n"))
     kept = placed.where("through div step > before div step OR through = known")
     previous = F.lag("through", 1, 0).over(Window.partitionBy(*_SERIES).orderBy("value"))

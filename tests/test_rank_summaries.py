@@ -65,3 +65,16 @@ def test_nothing_known_and_bad_arguments(spark):
     for bad in ({"unit": "week"}, {"parts": 0}):
         with pytest.raises(ValueError):
             r.period_summaries(empty, "at", {"value": F.col("value")}, **bad)
+
+
+def test_values_are_counted_in_wanted_buckets_only(spark, monkeypatch):
+    """Leaving out the other buckets before values are counted changes nothing."""
+    _, given = made(spark, 6000)
+    make = lambda: r.period_summaries(given, "at", {"value": F.col("value")}, parts=20)
+    few = make()
+    assert "LeftSemi" in few._jdf.queryExecution().optimizedPlan().toString()
+    rows = sorted(few.collect())
+    monkeypatch.setattr(r, "BROADCAST_BUCKETS", 0)
+    whole = make()
+    assert "LeftSemi" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    assert rows and rows == sorted(whole.collect())
