@@ -14,16 +14,17 @@ a pair of lines that occurs before, without a line in common. So every run of tw
 goes in full, and the first occurrence of every line stays. Texts and passages that occur many times cost a row
 per chunk; only what is left costs a row per line. ``op9_line_chunks`` and the pipeline ask for that.
 
-Only hashes are grouped over all documents. Texts are dealt out by id twice: flagged chunks and pairs are stored
-with their text, joined with the first one of their hash and compared, and what is equal is cut out. A chunk in a
-third of all documents is counted before the shuffle; in the comparison its rows are a skewed join side, which
-adaptive execution splits.
+Only hashes are grouped over all documents. Texts are dealt out once, by a hash of id and text: the look-up of pairs,
+the pieces of first ones, the pieces that are compared with them and the cut are joins in one plan that all read this
+exchange. To this end each of them hands all columns to its function, since a column less would make another
+exchange. Texts of one line hold no run and are not dealt out. A chunk in a third of all documents is counted before
+the shuffle; in the comparison its rows are a skewed join side, which adaptive execution splits.
 
 Rules: a null text stays null and has no lines; an empty one has one empty line. Null ids count as smaller
 than all others. Rows with the same id and the same text count as one document, each is returned; rows
 with the same id and other texts are ordered by a hash. A chunk whose bytes differ from the first chunk of
-its hash stays, whole. Other columns are kept; the columns in ``MADE`` replace any of these names, and columns of
-the operator's own get names that the input does not have. A document that loses all its lines stays with an empty
+its hash stays, whole. Other columns are kept; the columns in ``MADE`` replace any of these names, and inside the
+operator they have names of its own. A document that loses all its lines stays with an empty
 text. Empty tables give no rows.
 """
 
@@ -38,7 +39,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hailgrid.llm.arrow import column, slices, trimmed
-from hailgrid.llm.ranges import fresh
 from hailgrid.llm.rolling import mixed, runs
 
 #: Lines under the rolling hash.
@@ -50,10 +50,9 @@ _FOUND_SCHEMA = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("place
 _FLAGS = "array<struct<kind:int,place:int,hash:bigint,is_first:boolean>>"
 #: Kinds of flags: a chunk, whose place is its number, or a pair, whose place is its first line.
 CHUNK, PAIR = 0, 1
-_TEXTS = "mark long, kind int, place int, hash long, piece string, is_first boolean"
-_TEXTS_SCHEMA = pa.schema([
+_PIECES = "mark long, kind int, place int, hash long, piece string"
+_PIECES_SCHEMA = pa.schema([
     ("mark", pa.int64()), ("kind", pa.int32()), ("place", pa.int32()), ("hash", pa.int64()), ("piece", pa.string()),
-    ("is_first", pa.bool_()),
 ])
 
 
@@ -136,17 +135,19 @@ def _flagged_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             for x in flags:
                 at = x["place"]
                 some = lines[ends[at] : ends[at + 1]] if x["kind"] == CHUNK else lines[at : at + 2]
-                out.append((mark, x["kind"], at, x["hash"], "\n".join(some), x["is_first"]))
-        arrays = [pa.array([x[i] for x in out], f.type) for i, f in enumerate(_TEXTS_SCHEMA)]
-        yield pa.RecordBatch.from_arrays(arrays, schema=_TEXTS_SCHEMA)
+                out.append((mark, x["kind"], at, x["hash"], "\n".join(some)))
+        arrays = [pa.array([x[i] for x in out], f.type) for i, f in enumerate(_PIECES_SCHEMA)]
+        yield pa.RecordBatch.from_arrays(arrays, schema=_PIECES_SCHEMA)
 
 
-def _cut(names: list[str], text: str, gone_name: str):
+def _cut(names: dict[str, str]):
+    """``names``: the column of the batch that each column of the result comes from."""
+
     @trimmed
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts, n_lines, removed = [], [], []
-            for value, gone in zip(column(batch, text), column(batch, gone_name)):
+            for value, gone in zip(column(batch, "text"), column(batch, "gone")):
                 n_lines.append(0 if value is None else value.count("\n") + 1)
                 dropped = 0
                 if gone:
@@ -161,9 +162,10 @@ def _cut(names: list[str], text: str, gone_name: str):
                     value = "\n".join([line for line, keep in zip(lines, stay) if keep])
                 removed.append(dropped)
                 texts.append(value)
-            made = {text: pa.array(texts, pa.string()), "n_lines": pa.array(n_lines, pa.int64()), "n_removed": pa.array(removed, pa.int64())}
-            arrays = [made[x] if x in made else batch.column(batch.schema.get_field_index(x)) for x in names]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            cut = pa.array(texts, pa.string())
+            arrays = [cut if x == "text" else batch.column(batch.schema.get_field_index(x)) for x in names.values()]
+            arrays += [pa.array(n_lines, pa.int64()), pa.array(removed, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, *MADE])
 
     return work
 
@@ -187,33 +189,41 @@ def _flags(found: DataFrame, kind: int) -> DataFrame:
 def remove(rows: DataFrame, folder: str, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """``rows`` with repeated chunks cut out of ``text``, and how many lines there were and went.
 
-    ``whole``: hits are widened to whole repeated runs, so none of them stays in part.
+    ``whole``: hits are widened to whole repeated runs, so none of them stays in part. ``folder`` gets the flags of
+    chunks; each action on the result does the rest anew.
     """
     spark = rows.sparkSession
     kept = [c for c in rows.columns if c.lower() not in MADE]
     rows = rows.select(*kept).withColumn(text, F.col(text).cast("string"))
-    own_mark, own_gone = fresh(kept, "mark"), fresh(kept, "gone")
-    mark = F.xxhash64(F.col(key), F.col(text))
-    light = rows.select(F.col(key).cast("long").alias("doc_id"), mark.alias("mark"), F.col(text).alias("text"))
-    light = light.where(F.contains("text", F.lit("\n")))  # a single line is no run, and its text need not move
+    schema = rows.select("*").schema.add("n_lines", "long").add("n_removed", "long")
+    names = {c: "text" if c == text else f"kept_{i}" for i, c in enumerate(rows.columns)}
+    has_lines = F.coalesce(F.contains(F.col(text), F.lit("\n")), F.lit(False))
+    dealt = rows.where(has_lines).select(
+        F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(key), F.col(text)).alias("mark"),
+        *[F.col(c).alias(name) for c, name in names.items()],
+    )
 
-    flags = _flags(light.mapInArrow(_multi_line, _FOUND), CHUNK)
+    found = dealt.select("doc_id", "mark", "text").mapInArrow(_multi_line, _FOUND)
+    _flags(found, CHUNK).write.mode("overwrite").parquet(folder)
+    flags = spark.read.schema(f"mark long, flags {_FLAGS}").parquet(folder)
     if whole:
-        # A document's flags are as many as its repeated chunks. Both joins deal out the same columns alike.
-        left = light.join(flags, "mark", "left").mapInArrow(_pairs, _FOUND)
+        # A document's flags are as many as its repeated chunks.
+        left = dealt.join(flags, "mark", "left").mapInArrow(_pairs, _FOUND)
         both = flags.unionByName(_flags(left, PAIR))
         flags = both.groupBy("mark").agg(F.flatten(F.collect_list("flags")).alias("flags"))
-    flagged = light.join(flags, "mark").mapInArrow(_flagged_texts, _TEXTS)
-    flagged.write.mode("overwrite").parquet(folder)
-    texts = spark.read.schema(_TEXTS).parquet(folder)
-    # A row that occurs twice stores its first chunk twice.
-    first = texts.where("is_first").select("kind", "hash", F.col("piece").alias("first_piece")).dropDuplicates(["kind", "hash"])
-    equal = texts.where("not is_first").join(first, ["kind", "hash"]).where("piece = first_piece")
-    gone = equal.groupBy(F.col("mark").alias(own_mark)).agg(F.collect_set(F.struct("kind", "place")).alias(own_gone))
-    joined = rows.withColumn(own_mark, mark).join(gone, own_mark, "left").drop(own_mark)
-    names = [*kept, *MADE]
-    schema = rows.select(*kept).schema.add("n_lines", "long").add("n_removed", "long")
-    return joined.mapInArrow(_cut(names, text, own_gone), schema)
+
+    def pieces(first: bool) -> DataFrame:
+        wanted = flags.withColumn("flags", F.filter("flags", lambda x: x["is_first"] == F.lit(first))).where(F.size("flags") > 0)
+        return dealt.join(wanted, "mark").mapInArrow(_flagged_texts, _PIECES)
+
+    # A row that occurs twice has its first chunk twice.
+    firsts = pieces(True).select("kind", "hash", F.col("piece").alias("first_piece")).dropDuplicates(["kind", "hash"])
+    equal = pieces(False).join(firsts, ["kind", "hash"]).where("piece = first_piece")
+    gone = equal.groupBy("mark").agg(F.collect_set(F.struct("kind", "place")).alias("gone"))
+    cut = dealt.join(gone, "mark", "left").mapInArrow(_cut(names), schema)
+    n_lines = F.when(F.col(text).isNull(), 0).otherwise(1).cast("long")
+    alone = rows.where(~has_lines).select("*", n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
+    return cut.union(alone)
 
 
 def digests(cleaned: DataFrame) -> DataFrame:

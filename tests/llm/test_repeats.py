@@ -1,13 +1,16 @@
 """Repeated passages, line chunks and near copies against brute force."""
 
 import hashlib
+import json
+import subprocess
+import sys
 from collections import defaultdict
 
 import pytest
 
 from hailgrid.llm import anchors, line_chunks, ngram_join
 from hailgrid.llm.components import components
-from hailgrid.llm.queries import QUERIES
+from hailgrid.llm.queries import QUERIES, ROOT
 from tests.llm.samples import corpus
 
 FOLD = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -324,3 +327,41 @@ def test_texts_of_one_line_are_not_dealt_out(spark, folder, monkeypatch):
     expected = {1: ("a\nb", 2, 0), 2: ("x", 3, 2), 3: ("alone", 1, 0), 4: ("alone", 1, 0), 5: ("", 1, 0), 6: (None, 0, 0)}
     expected |= {7: ("\n", 2, 0), 8: ("z", 3, 2)}
     assert {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in got} == expected
+
+
+_SHUFFLED = """
+import os, random, sys
+from pyspark.sql import SparkSession
+root, folder = sys.argv[1:]
+sys.path.insert(0, root)
+spark = (
+    SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
+    .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", f"file://{folder}/events")
+    .config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "false")
+    .config("spark.sql.autoBroadcastJoinThreshold", "-1").getOrCreate()
+)
+from hailgrid.llm import line_chunks
+from hailgrid.llm.queries import importable
+importable(spark)
+r = random.Random(5)
+line = lambda: "".join(chr(r.randrange(33, 0x2000)) for _ in range(300))
+shared = [line() for _ in range(4)]
+rows = [(i, "\\n".join([line() for _ in range(8)] + (shared if i % 20 == 0 else [])), i % 7) for i in range(400)]
+spark.createDataFrame(rows, ["doc_id", "text", "n"]).write.parquet(f"{folder}/given")
+line_chunks.remove(spark.read.parquet(f"{folder}/given"), f"{folder}/flags", whole=True).write.parquet(f"{folder}/out")
+assert spark.read.parquet(f"{folder}/out").agg({"n_removed": "sum"}).first()[0] == 4 * 19
+with open(f"{folder}/bytes", "w") as f:
+    f.write(str(sum(len(x[1].encode()) for x in rows)))
+spark.stop()
+"""
+
+
+def test_texts_are_dealt_out_once(tmp_path):
+    (tmp_path / "events").mkdir()
+    subprocess.run([sys.executable, "-c", _SHUFFLED, ROOT, str(tmp_path)], check=True, timeout=300, capture_output=True)
+    written = 0
+    for path in (tmp_path / "events").iterdir():
+        ends = [e for e in map(json.loads, path.read_text().splitlines()) if e["Event"] == "SparkListenerTaskEnd"]
+        written += sum(e["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"] for e in ends)
+    size = int((tmp_path / "bytes").read_text())
+    assert 0.5 * size < written < 1.5 * size  # twice the size and more if a second exchange moves them
