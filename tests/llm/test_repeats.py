@@ -5,6 +5,7 @@ import json
 import subprocess
 import sys
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 
@@ -296,6 +297,18 @@ def test_components_of_chains_and_stars(spark, folder):
     assert found == {i: 100 for i in range(100, 161)} | {i: 7 for i in [7, *range(200, 260)]} | {1: 1, 5: 1}
 
 
+@pytest.mark.parametrize("held,rounds", [(1_000_000, 0), (100, 2)])
+def test_edges_that_one_task_can_hold_need_no_rounds(spark, folder, monkeypatch, held, rounds):
+    """A round costs the driver a dozen stages; edges of more nodes than a task may hold still take rounds."""
+    monkeypatch.setattr(sys.modules[components.__module__], "HELD", held)
+    edges = [(i, i + 1) for i in range(100, 200)] + [(7, i) for i in range(300, 360)] + [(5, 1), (1, 5), (1, 5)]
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(6)
+    found = [tuple(r) for r in components(frame, folder).collect()]
+    assert sorted(found) == [(5, 1)] + [(i, 100) for i in range(101, 201)] + [(i, 7) for i in range(300, 360)]
+    written = [p.name for p in Path(folder.removeprefix("file:")).iterdir()]
+    assert sum(name.startswith("round-") for name in written) >= rounds and ("whole" in written) == (not rounds)
+
+
 def test_empty_tables(documents, folder):
     empty = documents([])
     assert anchors.repeats(empty).count() == 0
