@@ -171,28 +171,21 @@ def test_several_fits_run_at_once(demand, monkeypatch):
     assert fut.rolling_backtest(demand, TINY, k=2).detail.count() == 8
 
 
-def test_fits_get_stored_rows_in_parts_that_depend_on_the_rows(spark, demand, monkeypatch):
-    """No plan before the stored rows goes out with the tasks of a fit, and the session doesn't set their number."""
-    monkeypatch.setattr(fut, "ROWS_OF_A_TASK", 500)
+def test_fits_get_stored_rows_in_the_same_parts(spark, demand, monkeypatch):
+    """No plan before the stored rows goes out with the tasks of a fit, and the draws of the trees stay the same."""
     seen, fit = [], fut.GBTRegressor.fit
 
     def watched(self, rows):
-        seen.append(("Join" in rows._jdf.queryExecution().executedPlan().toString(), rows.rdd.getNumPartitions()))
+        seen.append("Join" in rows._jdf.queryExecution().executedPlan().toString())
         return fit(self, rows)
 
     monkeypatch.setattr(fut.GBTRegressor, "fit", watched)
     assert fut.rolling_backtest(demand, TINY, k=2).detail.count() == 8
-    rows = fut.backtest_rows(demand)
-    assert seen == [(False, -(-rows.count() // 500))] * 2
-    parts = {}
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        for shuffles in ("2", "7"):
-            spark.conf.set("spark.sql.shuffle.partitions", shuffles)
-            parts[shuffles] = [list(map(tuple, part)) for part in fut.stored_rows(rows).rdd.glom().collect()]
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert parts["2"] == parts["7"] and sorted(sum(parts["2"], [])) == sorted(map(tuple, rows.collect()))
+    assert seen == [False, False]
+    rows = fut.backtest_rows(demand).repartition(5, "day_of_week", "hour").cache()
+    parts = [list(map(tuple, part)) for part in rows.rdd.glom().collect()]
+    assert [list(map(tuple, part)) for part in fut.stored_rows(rows).rdd.glom().collect()] == parts
+    assert fut.stored_rows(rows.where("hour > 99")).count() == 0
 
 
 def test_remembered_nodes_change_no_tree(demand):
